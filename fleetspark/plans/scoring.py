@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspark.functions.ordered import exact_quantiles
+from fleetspark.functions.staging import stage
 from fleetspark.functions.times import micros, ntz
 from fleetspark.operators.timejoin import count_until
 from fleetspark.params import FleetParams
@@ -54,10 +55,11 @@ def anomaly_profile(train: DataFrame, inputs: list[str]) -> DataFrame:
     long = doubles.select(
         F.inline(F.array(*[F.struct(F.lit(c).alias("input"), F.col(c).alias("value")) for c in inputs]))
     )
-    medians = (
+    medians = stage(
         exact_quantiles(long, "value", [0.5], ["input"])
         .groupBy()
-        .agg(*[F.max(F.when(F.col("input") == c, F.col("quantile"))).alias(f"{c}__median") for c in inputs])
+        .agg(*[F.max(F.when(F.col("input") == c, F.col("quantile"))).alias(f"{c}__median") for c in inputs]),
+        "anomaly_medians",
     )
     imputed = doubles.crossJoin(F.broadcast(medians)).select(
         *[F.coalesce(F.col(c), F.col(f"{c}__median")).alias(c) for c in inputs]
@@ -88,14 +90,19 @@ def anomaly_threshold(scored_validation: DataFrame) -> DataFrame:
 
 
 def anomaly_model(dataset: DataFrame, p: FleetParams) -> tuple[DataFrame, DataFrame, list[str]]:
-    """(profile row, threshold row, inputs) from healthy fit and healthy validation rows."""
+    """(profile row, threshold row, inputs) from healthy fit and healthy validation rows.
+
+    The fitted rows are written, as any trained model is: scoring then reads one small row
+    instead of dragging the training plan along.
+    """
     inputs = anomaly_inputs(dataset.columns, p)
     t, v = micros(p.time), micros(ntz(p.validation_start))
     train = F.col("split") == "train"
     fit = dataset.where(healthy(p) & train & (t + p.horizon_us < v))
     validation = dataset.where(healthy(p) & train & (t >= v))
-    profile = anomaly_profile(fit, inputs)
-    return profile, anomaly_threshold(anomaly_score(validation, profile, inputs)), inputs
+    profile = stage(anomaly_profile(fit, inputs), "anomaly_profile")
+    threshold = stage(anomaly_threshold(anomaly_score(validation, profile, inputs)), "anomaly_threshold")
+    return profile, threshold, inputs
 
 
 def component_shares(rows: DataFrame, failures: DataFrame, p: FleetParams) -> DataFrame:

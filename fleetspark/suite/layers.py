@@ -10,7 +10,7 @@ from fleetspark.plans import features, kpis, labels
 from fleetspark.params import ADDITIVE
 from fleetspark.suite.blocks import COMPS, ERRORS, SENSORS, U, W, P, each, rounded
 from fleetspark.suite.registry import query, r6
-from fleetspark.suite.worlds import EventWorld, SupplyWorld
+from fleetspark.suite.worlds import event_world, supply_world
 
 
 def round6(df: DataFrame, columns: list[str]) -> DataFrame:
@@ -23,7 +23,7 @@ KEYS = ["machine_id", "timestamp"]
 
 @query("d1_deduplicate", f"SELECT machine_id, timestamp, _source_line, {each('{x}')} FROM deduped")
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     return cleaning.deduplicate(w.readings, w.p)
 
 
@@ -35,13 +35,13 @@ def _(spark, sf_dir):
        AS conflicting_duplicates""",
 )
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     return cleaning.duplicate_counts(w.readings, w.p)
 
 
 @query("d2_out_of_range", f"SELECT machine_id, timestamp, _source_line, {each('{x}')} FROM ranged")
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     return cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
 
 
@@ -50,21 +50,21 @@ def _(spark, sf_dir):
     f"""SELECT machine_id, timestamp, {each('{x}')}, {each('stuck_{x} AS {x}_stuck')} FROM stuck_marks""",
 )
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     first = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
     return cleaning.mark_stuck(first, w.p).select(*KEYS, *SENSORS, *[f"{s}_stuck" for s in SENSORS])
 
 
 @query("d4_regular_grid", f"SELECT machine_id, timestamp, _source_line, {each('{x}')} FROM gridded")
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     first = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
     return cleaning.regular_grid(cleaning.null_stuck_runs(first, w.p), w.p)
 
 
 @query("d5_fill_short_gaps", rounded(SENSORS, "silver", [*KEYS, "_source_line", *QUALITY]))
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     first = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
     grid = cleaning.regular_grid(cleaning.null_stuck_runs(first, w.p), w.p)
     return round6(cleaning.fill_short_gaps(grid, w.p), SENSORS)
@@ -72,12 +72,13 @@ def _(spark, sf_dir):
 
 @query("d6_quality_flags", f"SELECT {', '.join(KEYS + QUALITY)} FROM silver")
 def _(spark, sf_dir):
-    return EventWorld(spark, sf_dir).silver.select(*KEYS, *QUALITY)
+    return event_world(spark, sf_dir).silver.select(*KEYS, *QUALITY)
 
 
 @query("d7_clean", rounded(SENSORS, "silver", [*KEYS, "_source_line", *QUALITY]))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).silver, SENSORS)
+    w = event_world(spark, sf_dir)
+    return round6(cleaning.clean(w.readings, w.p), SENSORS)
 
 
 def _metric(rule: str, n: str, sensor: str | None = None) -> str:
@@ -109,7 +110,7 @@ for _s in SENSORS:
 
 @query("d7_cleaning_metrics", " UNION ALL ".join(_metrics))
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     return cleaning.cleaning_metrics(w.readings, w.p)
 
 
@@ -134,7 +135,7 @@ def _linear_sql() -> str:
 
 @query("d8_linear_interpolation", _linear_sql())
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     first = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
     grid = cleaning.regular_grid(cleaning.null_stuck_runs(first, w.p), w.p)
     names = [f"{s}_linear" for s in SENSORS]
@@ -146,7 +147,7 @@ FEATURES = features.sensor_feature_names(P)
 
 @query("k1_sensor_features", rounded(FEATURES, "sensor_features_e", KEYS))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).sensor_features, FEATURES)
+    return round6(event_world(spark, sf_dir).sensor_features, FEATURES)
 
 
 HOURS = [f"hours_since_{c}_replaced" for c in COMPS]
@@ -156,7 +157,7 @@ ATTRS = ["model", "age", "plant_id", "line_id"]
 
 @query("k2_event_features", rounded(HOURS, "event_features_e", [*KEYS, *COUNTS, *ATTRS]))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).event_features, HOURS)
+    return round6(event_world(spark, sf_dir).event_features, HOURS)
 
 
 LABELS = [P.target, *[P.component_target(c) for c in COMPS], "failed_component", "next_failure_at"]
@@ -164,7 +165,7 @@ LABELS = [P.target, *[P.component_target(c) for c in COMPS], "failed_component",
 
 @query("k3_labels", rounded(["hours_to_failure"], "labels_e", [*KEYS, *LABELS]))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).labels, ["hours_to_failure"])
+    return round6(event_world(spark, sf_dir).labels, ["hours_to_failure"])
 
 
 @query(
@@ -172,7 +173,7 @@ def _(spark, sf_dir):
     rounded([*FEATURES, *HOURS, "hours_to_failure"], "dataset_e", [*KEYS, *COUNTS, *ATTRS, *LABELS, "split"]),
 )
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).ml_dataset, [*FEATURES, *HOURS, "hours_to_failure"])
+    return round6(event_world(spark, sf_dir).ml_dataset, [*FEATURES, *HOURS, "hours_to_failure"])
 
 
 @query(
@@ -182,7 +183,7 @@ def _(spark, sf_dir):
     "FROM parts_e GROUP BY part",
 )
 def _(spark, sf_dir):
-    w = EventWorld(spark, sf_dir)
+    w = event_world(spark, sf_dir)
     return round6(labels.parts_summary(w.parts, w.p), ["positive_rate"])
 
 
@@ -194,7 +195,7 @@ def _(spark, sf_dir):
     "SELECT machine_id, timestamp, components, downtime_h, cost FROM failure_ev_l",
 )
 def _(spark, sf_dir):
-    w = SupplyWorld(spark, sf_dir)
+    w = supply_world(spark, sf_dir)
     return kpis.failure_events(w.failures, w.costs, w.period)
 
 
@@ -203,7 +204,7 @@ def _(spark, sf_dir):
     "SELECT machine_id, timestamp, components, downtime_h, cost FROM planned_ev_l",
 )
 def _(spark, sf_dir):
-    w = SupplyWorld(spark, sf_dir)
+    w = supply_world(spark, sf_dir)
     return kpis.planned_events(w.failures, w.maintenance, w.costs, w.period)
 
 
@@ -218,7 +219,7 @@ def _(spark, sf_dir):
         WHERE NOT (timestamp >= period_start AND timestamp < period_end)) AS outside_period_excluded""",
 )
 def _(spark, sf_dir):
-    w = SupplyWorld(spark, sf_dir)
+    w = supply_world(spark, sf_dir)
     return kpis.classification_counts(w.failures, w.maintenance, w.costs, w.period)
 
 
@@ -230,7 +231,7 @@ RATIOS = ["availability", "mtbf_h", "mttr_h"]
     rounded(RATIOS, "monthly_l", ["machine_id", "model", "plant_id", "line_id", "month", *ADDITIVE]),
 )
 def _(spark, sf_dir):
-    return round6(SupplyWorld(spark, sf_dir).kpi_tables["kpi_machine_monthly"], RATIOS)
+    return round6(supply_world(spark, sf_dir).kpi_tables["kpi_machine_monthly"], RATIOS)
 
 
 def roll_up_sql(keys: list[str], source: str) -> str:
@@ -251,7 +252,7 @@ def roll_up_sql(keys: list[str], source: str) -> str:
 
 
 def _roll_up(name: str):
-    return lambda spark, sf_dir: round6(SupplyWorld(spark, sf_dir).kpi_tables[name], RATIOS)
+    return lambda spark, sf_dir: round6(supply_world(spark, sf_dir).kpi_tables[name], RATIOS)
 
 
 for _name, _keys in kpis.KPI_KEYS.items():
@@ -265,18 +266,18 @@ def _table(world, name):
     return lambda spark, sf_dir: getattr(world(spark, sf_dir), name)
 
 
-query("k8_dim_machine", "SELECT * FROM dim_machine_e")(_table(EventWorld, "dim_machine"))
-query("k9_dim_component", "SELECT * FROM costs")(_table(EventWorld, "dim_component"))
-query("k12_dim_date", "SELECT * FROM dim_date_l")(_table(SupplyWorld, "dim_date"))
-query("k12_dim_date_events", "SELECT * FROM dim_date_e")(_table(EventWorld, "dim_date"))
-query("k14_fact_failure", "SELECT * FROM fact_failure_l")(_table(SupplyWorld, "fact_failure"))
-query("k15_fact_maintenance", "SELECT * FROM fact_maintenance_l")(_table(SupplyWorld, "fact_maintenance"))
-query("k16_fact_error", "SELECT * FROM fact_error_e")(_table(EventWorld, "fact_error"))
+query("k8_dim_machine", "SELECT * FROM dim_machine_e")(_table(event_world, "dim_machine"))
+query("k9_dim_component", "SELECT * FROM costs")(_table(event_world, "dim_component"))
+query("k12_dim_date", "SELECT * FROM dim_date_l")(_table(supply_world, "dim_date"))
+query("k12_dim_date_events", "SELECT * FROM dim_date_e")(_table(event_world, "dim_date"))
+query("k14_fact_failure", "SELECT * FROM fact_failure_l")(_table(supply_world, "fact_failure"))
+query("k15_fact_maintenance", "SELECT * FROM fact_maintenance_l")(_table(supply_world, "fact_maintenance"))
+query("k16_fact_error", "SELECT * FROM fact_error_e")(_table(event_world, "fact_error"))
 
 
 @query("k13_fact_sensor_reading", rounded(["value"], "fact_reading_e", [*KEYS, "date_key", "sensor", "quality"]))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).fact_sensor_reading, ["value"])
+    return round6(event_world(spark, sf_dir).fact_sensor_reading, ["value"])
 
 
 @query(
@@ -284,7 +285,7 @@ def _(spark, sf_dir):
     rounded(RATIOS, "fact_month_l", ["machine_id", "month_date_key", "year_month", *ADDITIVE]),
 )
 def _(spark, sf_dir):
-    return round6(SupplyWorld(spark, sf_dir).fact_machine_month, RATIOS)
+    return round6(supply_world(spark, sf_dir).fact_machine_month, RATIOS)
 
 
 PREDICTED = [*[f"{c}_risk" for c in COMPS], "anomaly_score", "failure_risk"]
@@ -294,4 +295,4 @@ PRED_REST = ["alert", "predicted_component", "anomaly_flag", "reason_1", "reason
 
 @query("k18_fact_prediction", rounded(PREDICTED, "fact_prediction_e", [*KEYS, "date_key", *PRED_REST]))
 def _(spark, sf_dir):
-    return round6(EventWorld(spark, sf_dir).fact_prediction, PREDICTED)
+    return round6(event_world(spark, sf_dir).fact_prediction, PREDICTED)

@@ -1,12 +1,17 @@
-"""The two bound fleets with every derived layer as a lazy DataFrame."""
+"""The two bound fleets with every derived layer.
+
+Layers that feed several branches are written once per session and source folder, as a
+warehouse does, and every query reads them; the rest stays lazy.
+"""
 
 from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from fleetspark.bindings import EventFleet, SupplyFleet
+from fleetspark.functions.staging import stage
 from fleetspark.operators import cleaning
 from fleetspark.plans import features, kpis, labels, scoring, star
 
@@ -40,13 +45,13 @@ class _Star:
 
     @cached_property
     def fact_machine_month(self) -> DataFrame:
-        return star.fact_machine_month(self.kpi_tables["kpi_machine_monthly"])
+        return stage(star.fact_machine_month(self.kpi_tables["kpi_machine_monthly"]), "fact_machine_month")
 
 
 class EventWorld(_Star, EventFleet):
     @cached_property
     def silver(self) -> DataFrame:
-        return cleaning.clean(self.readings, self.p)
+        return stage(cleaning.clean(self.readings, self.p), "silver")
 
     @cached_property
     def period(self) -> DataFrame:
@@ -59,23 +64,28 @@ class EventWorld(_Star, EventFleet):
 
     @cached_property
     def sensor_features(self) -> DataFrame:
-        return features.sensor_features(self.silver, self.p)
+        return stage(features.sensor_features(self.silver, self.p), "sensor_features")
+
+    @cached_property
+    def spine(self) -> DataFrame:
+        return self.sensor_features.select(*self.p.keys)
 
     @cached_property
     def event_features(self) -> DataFrame:
         return features.event_features(
-            self.sensor_features.select(*self.p.keys), self.errors, self.maintenance, self.machines, self.p
+            self.spine, self.errors, self.maintenance, self.machines, self.p
         )
 
     @cached_property
     def labels(self) -> DataFrame:
         return labels.labels(
-            self.sensor_features.select(*self.p.keys), self.failures, self.data_end, self.p
+            self.spine, self.failures, self.data_end, self.p
         )
 
     @cached_property
     def ml_dataset(self) -> DataFrame:
-        return labels.ml_dataset(self.sensor_features, self.event_features, self.labels, self.p)
+        dataset = labels.ml_dataset(self.sensor_features, self.event_features, self.labels, self.p)
+        return stage(dataset, "ml_dataset")
 
     @cached_property
     def parts(self) -> DataFrame:
@@ -89,7 +99,7 @@ class EventWorld(_Star, EventFleet):
     @cached_property
     def predictions(self) -> DataFrame:
         rows = self.sensor_features.join(self.event_features, self.p.keys)
-        return scoring.rule_predictions(rows, self.ml_dataset, self.failures, self.p)
+        return stage(scoring.rule_predictions(rows, self.ml_dataset, self.failures, self.p), "predictions")
 
     @cached_property
     def fact_sensor_reading(self) -> DataFrame:
@@ -123,3 +133,19 @@ class SupplyWorld(_Star, SupplyFleet):
         return star.dim_date([self.lines.select("timestamp")])
 
 
+_worlds: dict[tuple, EventWorld | SupplyWorld] = {}
+
+
+def _shared(kind: type, spark: SparkSession, sf_dir: str):
+    key = (kind, spark.sparkContext.applicationId, sf_dir)
+    if key not in _worlds:
+        _worlds[key] = kind(spark, sf_dir)
+    return _worlds[key]
+
+
+def event_world(spark: SparkSession, sf_dir: str) -> EventWorld:
+    return _shared(EventWorld, spark, sf_dir)
+
+
+def supply_world(spark: SparkSession, sf_dir: str) -> SupplyWorld:
+    return _shared(SupplyWorld, spark, sf_dir)
