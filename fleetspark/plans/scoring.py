@@ -126,9 +126,11 @@ def top_component(p: FleetParams) -> Column:
     return out
 
 
-def rule_predictions(rows: DataFrame, dataset: DataFrame, failures: DataFrame, p: FleetParams) -> DataFrame:
+def rule_predictions(
+    rows: DataFrame, model: tuple[DataFrame, DataFrame, list[str]], failures: DataFrame, p: FleetParams
+) -> DataFrame:
     """Predictions of the rule: error risk, component shares and the anomaly score."""
-    profile, threshold, inputs = anomaly_model(dataset, p)
+    profile, threshold, inputs = model
     total = f"errors_total_{p.longest}{p.unit}"
     keep = rows.select(*p.keys, total, *inputs)
     shared = component_shares(keep, failures, p)

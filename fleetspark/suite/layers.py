@@ -267,7 +267,9 @@ def _table(world, name):
 
 
 query("k8_dim_machine", "SELECT * FROM dim_machine_e")(_table(event_world, "dim_machine"))
-query("k9_dim_component", "SELECT * FROM costs")(_table(event_world, "dim_component"))
+query(
+    "k9_dim_component", "SELECT * FROM costs WHERE component IN (SELECT component FROM maintenance_l)"
+)(lambda spark, sf_dir: supply_world(spark, sf_dir).used_components)
 query("k12_dim_date", "SELECT * FROM dim_date_l")(_table(supply_world, "dim_date"))
 query("k12_dim_date_events", "SELECT * FROM dim_date_e")(_table(event_world, "dim_date"))
 query("k14_fact_failure", "SELECT * FROM fact_failure_l")(_table(supply_world, "fact_failure"))

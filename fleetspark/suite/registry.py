@@ -16,9 +16,12 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 BLOCKS: dict[str, str] = {}
+RECURSIVE: set[str] = set()
 
 
-def block(name: str, sql: str) -> None:
+def block(name: str, sql: str, recursive: bool = False) -> None:
+    if recursive:
+        RECURSIVE.add(name)
     if name in BLOCKS:
         raise ValueError(f"SQL block {name} is defined twice")
     BLOCKS[name] = sql.strip()
@@ -45,10 +48,11 @@ def with_blocks(sql: str) -> str:
     sql = sql.strip()
     if not order:
         return sql
-    parts = ",\n".join(f"{n} AS MATERIALIZED (\n{BLOCKS[n]}\n)" for n in order)
+    once = lambda n: "" if n in RECURSIVE else "MATERIALIZED "
+    parts = ",\n".join(f"{n} AS {once(n)}(\n{BLOCKS[n]}\n)" for n in order)
     if sql[:5].upper() == "WITH ":
-        return f"WITH {parts},\n{sql[5:]}"
-    return f"WITH {parts}\n{sql}"
+        return f"WITH RECURSIVE {parts},\n{sql[5:]}"
+    return f"WITH RECURSIVE {parts}\n{sql}"
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:

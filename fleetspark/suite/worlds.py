@@ -96,10 +96,14 @@ class EventWorld(_Star, EventFleet):
         """The dataset with the rule risk as ``score`` (risk of a failure, 0 to 1)."""
         return self.ml_dataset.withColumn("score", scoring.rule_risk(self.p))
 
+    @cached_property
+    def anomaly_model(self) -> tuple[DataFrame, DataFrame, list[str]]:
+        return scoring.anomaly_model(self.ml_dataset, self.p)
+
     @cached_property
     def predictions(self) -> DataFrame:
         rows = self.sensor_features.join(self.event_features, self.p.keys)
-        return stage(scoring.rule_predictions(rows, self.ml_dataset, self.failures, self.p), "predictions")
+        return stage(scoring.rule_predictions(rows, self.anomaly_model, self.failures, self.p), "predictions")
 
     @cached_property
     def fact_sensor_reading(self) -> DataFrame:
@@ -128,6 +132,11 @@ class EventWorld(_Star, EventFleet):
 
 
 class SupplyWorld(_Star, SupplyFleet):
+    @cached_property
+    def used_components(self) -> DataFrame:
+        """Components that are replaced in the data at all."""
+        return self.dim_component.join(self.maintenance.select("component").distinct(), "component", "left_semi")
+
     @cached_property
     def dim_date(self) -> DataFrame:
         return star.dim_date([self.lines.select("timestamp")])
