@@ -93,26 +93,23 @@ def exact_quantiles(
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
     placed = _attach_small(running_totals(counted, [(value, False)], ["_n"], by), totals, by)
-    position = lambda p: F.lit(float(p)) * (F.col("_total") - 1)
-    wanted = F.explode(
-        F.array(
-            *[
-                F.struct(F.lit(float(p)).alias("probability"), position(p).alias("pos"))
-                for p in probabilities
-            ]
-        )
+    wanted = F.array(*[F.lit(float(p)) for p in probabilities])
+    last = F.col("_n_before") + F.col("_n") - 1
+    touched = F.filter(
+        wanted,
+        lambda q: (F.ceil(q * (F.col("_total") - 1)) >= F.col("_n_before"))
+        & (F.floor(q * (F.col("_total") - 1)) <= last),
     )
     return (
-        placed.withColumn("_w", wanted)
+        placed.withColumn("probability", F.explode(touched))
         .select(
             *by,
-            F.col("_w.probability").alias("probability"),
-            F.col("_w.pos").alias("_pos"),
+            "probability",
+            (F.col("probability") * (F.col("_total") - 1)).alias("_pos"),
             F.col("_n_before").alias("_from"),
-            (F.col("_n_before") + F.col("_n") - 1).alias("_to"),
+            last.alias("_to"),
             F.col(value).alias("_v"),
         )
-        .where((F.ceil("_pos") >= F.col("_from")) & (F.floor("_pos") <= F.col("_to")))
         .groupBy(*by, "probability", "_pos")
         .agg(
             F.max(F.when(F.floor("_pos").between(F.col("_from"), F.col("_to")), F.col("_v"))).alias("_lo"),

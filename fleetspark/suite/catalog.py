@@ -1,6 +1,6 @@
 """Importing this module registers every query."""
 
-from fleetspark.suite import blocks, judging, layers, warehouse  # noqa: F401
+from fleetspark.suite import blocks, ingest, judging, layers, warehouse  # noqa: F401
 from fleetspark.suite.registry import ORACLES, QUERIES, with_blocks
 
 __all__ = ["ORACLES", "QUERIES", "with_blocks"]
