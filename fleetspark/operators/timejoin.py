@@ -89,6 +89,27 @@ def next_after(
     )
 
 
+def previous_time(events: DataFrame, p: FleetParams, by: list[str]) -> DataFrame:
+    """Add ``previous_at``: the time of the row before, per entity and ``by`` (SQL ``lag``).
+
+    Inside a time chunk it is a lag; the first row of a chunk takes the latest time of the
+    earlier chunks, one summary row each.
+    """
+    keys = [p.entity, *by]
+    rows = own_chunk(with_us(events, p.time), "_us", p.chunk_us)
+    earlier = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        rows.groupBy(*keys, "_chunk")
+        .agg(F.max("_us").alias("_last"))
+        .select(*keys, "_chunk", F.max("_last").over(earlier).alias("_before"))
+    )
+    inside = Window.partitionBy(*keys, "_chunk").orderBy("_us")
+    lagged = rows.withColumn("_lag", F.lag("_us").over(inside)).join(before, [*keys, "_chunk"], "left")
+    return lagged.withColumn("previous_at", from_micros(F.coalesce("_lag", "_before"))).drop(
+        "_us", "_chunk", "_lag", "_before"
+    )
+
+
 def count_until(
     spine: DataFrame, events: DataFrame, p: FleetParams, kinds: dict[str, Column]
 ) -> DataFrame:

@@ -1,6 +1,15 @@
 """Importing this module registers every query."""
 
-from fleetspark.suite import blocks, checking, ingest, judging, layers, warehouse  # noqa: F401
+from fleetspark.suite import (  # noqa: F401
+    blocks,
+    checking,
+    ingest,
+    judging,
+    layers,
+    learning,
+    operators,
+    warehouse,
+)
 from fleetspark.suite.registry import ORACLES, QUERIES, with_blocks
 
 __all__ = ["ORACLES", "QUERIES", "with_blocks"]
