@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetspark.functions.ordered import exact_quantiles, running_totals
+from fleetspark.functions.staging import stage
 from fleetspark.functions.times import from_micros, micros
 from fleetspark.functions.typing import n_if, ratio
 from fleetspark.operators.chunks import own_chunk, with_us
@@ -241,6 +242,7 @@ def net_saving_curve(
     rows. Inspections do depend on the threshold; only alert rows are copied, at most 201 times.
     """
     cooldown_us = cooldown_us or p.horizon_us
+    rows, thresholds = stage(rows, "judged_rows"), stage(thresholds, "thresholds")
     grid = thresholds.agg(F.sort_array(F.collect_set("threshold")).alias("_grid"))
     copies = (
         rows.select(*p.keys, p.target, "score")

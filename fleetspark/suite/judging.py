@@ -2,16 +2,14 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from fleetspark.functions.staging import stage
 from fleetspark.plans import evaluate as E
 from fleetspark.plans import insights as N
-from fleetspark.plans import labels, scoring, views
-from fleetspark.plans import questions as Q
-from fleetspark.suite.blocks import COMPS, HEALTHY, RISK, SENSORS, U, W, H, P, each, rounded
+from fleetspark.plans import scoring, views
+from fleetspark.suite.blocks import RISK, H, P, U, W, rounded
 from fleetspark.suite.layers import round6
 from fleetspark.suite.registry import block, query, r6
 from fleetspark.suite.warehouse import components, health
@@ -219,7 +217,8 @@ def _validation(w) -> DataFrame:
         F.col("timestamp") >= F.lit(str(w.p.validation_start)).cast("timestamp_ntz")
     )
     profile, _, inputs = w.anomaly_model
-    return scoring.anomaly_score(rows, profile, inputs).withColumnRenamed("anomaly_score", "score")
+    scored = scoring.anomaly_score(rows, profile, inputs).withColumnRenamed("anomaly_score", "score")
+    return stage(scored.select(*w.p.keys, w.p.target, "next_failure_at", "failed_component", "score"), "validation_scores")
 
 
 @query("m8_threshold_candidates", f"SELECT {r6('threshold')} AS threshold FROM candidates_e")
