@@ -1,18 +1,36 @@
 """Global order statistics without a global sort task.
 
-``Window.orderBy`` without a partition moves every row to one task. Here the ordering
-column is cut into a fixed number of equal-width buckets: bucket totals are a bounded frame
-(at most ``BUCKETS`` rows per group) that is summed once and broadcast, and the exact order
-is resolved inside each bucket in parallel. Ties are collapsed by a grouped pre-aggregation,
-so a value shared by a third of all rows is one row here.
+``Window.orderBy`` without a partition moves every row to one task. Here the ordering column
+is cut into at most ``BUCKETS`` ranges of about equal row counts: bucket totals are a bounded
+frame that is summed once and broadcast, and the exact order is resolved inside each bucket
+in parallel. The cut points come from an approximate quantile sketch and are then constants,
+so they only decide the balance (outliers and heavy tails included), never the result. Ties
+are collapsed by a grouped pre-aggregation: a value shared by a third of all rows is one row.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from fleetspark.functions.staging import stage
+
 BUCKETS = 1024
+SKETCH_ERROR = 0.0005
+
+
+def _with_bucket(df: DataFrame) -> DataFrame:
+    """Add ``_bucket``, ascending with ``_order_value``; NULLs form the last bucket."""
+    share = [i / BUCKETS for i in range(1, BUCKETS)]
+    cuts = sorted(set(df.where(F.col("_order_value").isNotNull()).approxQuantile("_order_value", share, SKETCH_ERROR)))
+    splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
+    if len(splits) == 2:
+        splits.insert(1, 0.0)
+    out = Bucketizer(splits=splits, inputCol="_order_value", outputCol="_bucket", handleInvalid="keep").transform(df)
+    return out.withColumn("_bucket", F.coalesce(F.col("_bucket"), F.lit(float(len(splits)))).cast("int"))
 
 
 def running_totals(
@@ -21,34 +39,29 @@ def running_totals(
     """Add ``<c>_before`` (sum over strictly earlier rows) for every column of ``sums``.
 
     ``order`` is a list of (column, descending) that identifies a row within ``by``; its first
-    column must be numeric or boolean. NULLs sort last.
+    column must be numeric or boolean. NULLs sort last. The input is written once, because the
+    sketch, the bucket totals and the result each read it.
     """
     by = by or []
     first, descending = order[0]
     x = F.col(first).cast("double")
-    x = -x if descending else x
-    keyed = df.withColumn("_x", x)
-    bounds = keyed.groupBy(*by).agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    keyed = _attach_small(keyed, bounds, by)
-    share = F.try_divide(F.col("_x") - F.col("_lo"), F.col("_hi") - F.col("_lo"))
-    bucket = F.least(F.lit(BUCKETS - 1), F.floor(F.coalesce(share, F.lit(0.0)) * BUCKETS)).cast("int")
-    keyed = keyed.withColumn("_b", F.when(F.col("_x").isNull(), F.lit(BUCKETS)).otherwise(bucket))
-
-    totals = keyed.groupBy(*by, "_b").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
-    earlier = Window.partitionBy(*by, F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    keyed = _with_bucket(stage(df, "ordered").withColumn("_order_value", -x if descending else x)).drop("_order_value")
+
+    totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
+    earlier = Window.partitionBy(*by, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *by, "_b", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums]
+        *by, "_bucket", *[F.coalesce(F.sum(f"_t_{c}").over(earlier), F.lit(0)).alias(f"_o_{c}") for c in sums]
     )
-    keyed = _attach_small(keyed, offsets, [*by, "_b"])
+    keyed = _attach_small(keyed, offsets, [*by, "_bucket"])
     inside = (
-        Window.partitionBy(*by, "_b")
+        Window.partitionBy(*by, "_bucket")
         .orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order])
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = {
         f"{c}_before": F.col(f"_o_{c}") + F.coalesce(F.sum(c).over(inside), F.lit(0)) for c in sums
     }
-    return keyed.withColumns(before).drop("_x", "_lo", "_hi", "_b", *[f"_o_{c}" for c in sums])
+    return keyed.withColumns(before).drop("_bucket", *[f"_o_{c}" for c in sums])
 
 
 def _attach_small(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
@@ -60,7 +73,7 @@ def _attach_small(df: DataFrame, small: DataFrame, by: list[str]) -> DataFrame:
     for c in by:
         same = F.col(c).eqNullSafe(F.col(f"_k_{c}"))
         condition = same if condition is None else condition & same
-    joined = df.join(F.broadcast(right) if by == ["_b"] else right, condition, "left")
+    joined = df.join(F.broadcast(right) if by == ["_bucket"] else right, condition, "left")
     return joined.drop(*[f"_k_{c}" for c in by])
 
 
@@ -70,6 +83,7 @@ def global_rank(df: DataFrame, order: list[tuple[str, bool]], name: str, unique:
     if unique:
         ranked = running_totals(df.withColumn("_n", F.lit(1).cast("bigint")), order, ["_n"])
         return ranked.withColumn(name, F.col("_n_before") + 1).drop("_n", "_n_before")
+    df = stage(df, "ranked")
     ties = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_n"))
     ranks = running_totals(ties, order, ["_n"]).select(
         *[F.col(c).alias(f"_r_{c}") for c in columns], (F.col("_n_before") + 1).alias(name)
@@ -91,6 +105,7 @@ def exact_quantiles(
     """
     by = by or []
     counted = df.where(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count(F.lit(1)).alias("_n"))
+    counted = stage(counted, "distinct_values")
     totals = counted.groupBy(*by).agg(F.sum("_n").alias("_total"))
     placed = _attach_small(running_totals(counted, [(value, False)], ["_n"], by), totals, by)
     wanted = F.array(*[F.lit(float(p)) for p in probabilities])

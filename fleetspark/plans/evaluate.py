@@ -168,15 +168,18 @@ def evaluate(
     event_totals = events.groupBy(*by).agg(
         F.count(F.lit(1)).alias("failure_events"),
         n_if(F.col("caught")).alias("events_caught"),
-        F.median(F.when(F.col("caught"), F.col("lead_time_h"))).alias("median_lead_time_h"),
         F.sum(F.when(F.col("caught"), F.col("saving"))).alias("caught_saving"),
         F.sum("saving").alias("potential_saving"),
     )
+    lead = exact_quantiles(events.where("caught"), "lead_time_h", [0.5], by).select(
+        *by, F.col("quantile").alias("median_lead_time_h")
+    )
+    lead = lead if by else lead.agg(F.max("median_lead_time_h").alias("median_lead_time_h"))
     opened = inspections(rows.where(alert), p, cooldown_us, by).groupBy(*by).agg(
         F.count(F.lit(1)).alias("inspections"), n_if(~F.col("failure_followed")).alias("false_alarms")
     )
     out = base
-    for part in (machines, ranking(rows, p.target, by), event_totals, opened):
+    for part in (machines, ranking(rows, p.target, by), event_totals, lead, opened):
         out = out.join(part, by, "left") if by else out.crossJoin(F.broadcast(part))
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     or_zero = lambda c: F.coalesce(c, F.lit(0.0))

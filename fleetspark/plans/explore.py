@@ -123,7 +123,7 @@ def report_checks(reports: DataFrame, column: str = "report") -> DataFrame:
     results = F.from_json(top["results"], "array<struct<table:string, check:string, passed:boolean>>")
     named = F.from_json(top["checks"], REPORT_CHECKS)
     tables = F.from_json(top["tables"], REPORT_CHECKS)
-    passed = lambda v: F.coalesce(F.get_json_object(v, "$.passed"), v).cast("boolean")
+    passed = lambda v: F.coalesce(F.get_json_object(v, "$.passed"), v).try_cast("boolean")
     entry = lambda name, ok: F.struct(name.alias("check_name"), ok.alias("passed"))
     from_list = F.transform(results, lambda r: entry(F.concat_ws(": ", r["table"], r["check"]), r["passed"]))
     from_map = F.transform(F.map_entries(named), lambda e: entry(e["key"], F.coalesce(passed(e["value"]), F.lit(False))))
