@@ -293,9 +293,36 @@ def interpolate_linear(grid: DataFrame, p: FleetParams) -> DataFrame:
 # ---------------------------------------------------------------- all rules
 
 
+def slot_edges(typed: DataFrame, p: FleetParams, order: str = LINE) -> DataFrame:
+    """First and last time of every (entity, step slot), each by its first copy.
+
+    A reading with an earlier and a later one in its own slot has neighbours closer than one
+    step, so it can neither join nor extend a stuck run, and it is not on the grid either. It
+    can go before any per-entity work: at most two rows per slot are left, however busy the
+    entity is. Combines on the map side and removes duplicates on the way.
+    """
+    rest = [c for c in typed.columns if c not in (*p.keys, order)]
+    rows = with_us(typed, p.time).withColumn("_slot", F.col("_us") - F.pmod("_us", F.lit(p.step_us)))
+    edges = rows.groupBy(p.entity, "_slot").agg(
+        F.min(F.struct("_us", order, *rest)).alias("_first"),
+        F.max(F.struct("_us", (-F.col(order)).alias(order), *rest)).alias("_last"),
+    )
+    last = F.struct(
+        F.col("_last._us").alias("_us"),
+        (-F.col(f"_last.{order}")).alias(order),
+        *[F.col(f"_last.{c}").alias(c) for c in rest],
+    )
+    both = F.when(F.col("_first._us") < F.col("_last._us"), F.array("_first", last)).otherwise(F.array("_first"))
+    return (
+        edges.select(p.entity, F.explode(both).alias("_e"))
+        .select(p.entity, from_micros(F.col("_e._us")).alias(p.time), f"_e.{order}", *[f"_e.{c}" for c in rest])
+    )
+
+
 def clean(typed: DataFrame, p: FleetParams) -> DataFrame:
-    """All rules in order. Three shuffles: duplicates, stuck runs, grid with gap filling."""
-    cleaned = null_stuck_runs(null_out_of_range(deduplicate(typed, p), p), p)
+    """All rules in order. Three shuffles: slot edges without duplicates, stuck runs, grid with
+    gap filling."""
+    cleaned = null_stuck_runs(null_out_of_range(slot_edges(typed, p), p), p)
     extra = [c for c in cleaned.columns if c not in (*p.keys, *p.sensors)]
     grid = regular_grid(cleaned, p, grid_bounds(typed, p), fill_halo(p))
     return _finish(_fill(grid, p), p, extra)

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from fleetspark.functions.times import from_micros
+from fleetspark.functions.times import from_micros, micros
 from fleetspark.operators.chunks import carry, own_chunk, spread, with_us
 from fleetspark.params import FleetParams
 
@@ -52,11 +52,15 @@ def count_between(
 
 
 def exists_between(
-    spine: DataFrame, events: DataFrame, p: FleetParams, after_us: int, until_us: int, name: str
+    spine: DataFrame, events: DataFrame, p: FleetParams, until_us: int, name: str
 ) -> DataFrame:
-    """Range semi join as a flag: is there an event in ``(t + after_us, t + until_us]``?"""
-    counted = count_between(spine, events, p, after_us, until_us, {"_hits": F.lit(True)})
-    return counted.withColumn(name, F.col("_hits") > 0).drop("_hits")
+    """Range semi join as a flag: is there an event in ``(t, t + until_us]``?
+
+    The first event strictly after t decides, so nothing is counted and no event is copied.
+    """
+    ahead = next_after(spine, events, p, {"_next": F.lit(True)})
+    soon = micros("_next") <= micros(p.time) + F.lit(until_us)
+    return ahead.withColumn(name, F.coalesce(soon, F.lit(False))).drop("_next")
 
 
 def asof_backward(

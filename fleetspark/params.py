@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 from datetime import datetime
 
 SECOND_US = 1_000_000
@@ -138,6 +138,14 @@ class FleetParams:
     def chunk_us(self) -> int:
         return self.chunk_steps * self.step_us
 
+    def for_events(self) -> FleetParams:
+        """The same parameters with one-step chunks, for joins whose rows are raw events.
+
+        Raw events are not bounded per step, so a busy entity needs many more, shorter chunks;
+        as-of joins carry one summary row per chunk and copy nothing, so short chunks are cheap.
+        """
+        return replace(self, chunk_steps=1)
+
     @property
     def longest(self) -> int:
         return max(self.windows)

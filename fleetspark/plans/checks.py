@@ -251,7 +251,7 @@ def _moved(name: str, before: DataFrame, after: DataFrame, cutoff: Column, p: Fl
 
 def labels_correct(label_rows: DataFrame, failures: DataFrame, p: FleetParams) -> DataFrame:
     """Recompute the target another way (count of failures in the horizon) and compare."""
-    counted = exists_between(label_rows, failures.select(*p.keys), p, 0, p.horizon_us, "_expected")
+    counted = exists_between(label_rows, failures.select(*p.keys), p, p.horizon_us, "_expected")
     wrong = F.col("_expected").cast("int") != F.col(p.target)
     one = counted.agg(n_if(wrong).alias("_bad"))
     return one.select(*_row("labels_correct", p.target, F.col("_bad") == 0, F.lit(0), F.col("_bad")))

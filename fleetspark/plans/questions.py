@@ -118,7 +118,7 @@ def sensors_before_failure(silver: DataFrame, failures: DataFrame, p: FleetParam
 
     The flag is computed once per machine and step, before the sensors are stacked.
     """
-    flagged = exists_between(silver, failures.select(*p.keys), p, 0, hours * HOUR_US, "before")
+    flagged = exists_between(silver, failures.select(*p.keys), p, hours * HOUR_US, "before")
     good = flagged.select(
         "before",
         F.inline(
@@ -139,7 +139,7 @@ def sensors_before_failure(silver: DataFrame, failures: DataFrame, p: FleetParam
 
 
 def errors_as_warnings(errors: DataFrame, failures: DataFrame, p: FleetParams, hours: int = 48) -> DataFrame:
-    flagged = exists_between(errors, failures.select(*p.keys), p, 0, hours * HOUR_US, "followed")
+    flagged = exists_between(errors, failures.select(*p.keys), p.for_events(), hours * HOUR_US, "followed")
     return (
         flagged.groupBy("error_id")
         .agg(

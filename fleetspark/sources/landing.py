@@ -8,6 +8,7 @@ from datetime import UTC, datetime
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetspark.functions.staging import stage
 from fleetspark.functions.typing import n_if
 
 LINEAGE = ("_source_file", "_source_line", "_ingested_at", "_batch_id")
@@ -42,7 +43,8 @@ def with_lineage(df: DataFrame, batch_id: str, ingested_at: datetime | None = No
     """Add source file, line number (the header is line 1), load time and batch.
 
     A line number is the row's position in its file split plus the rows of the earlier splits
-    of that file; the offsets are one row per split.
+    of that file. The offsets are one row per split and are written, so that the join knows
+    their real size: broadcast below the configured threshold, shuffled above it.
     """
     columns = df.columns
     rows = df.select(
@@ -58,6 +60,7 @@ def with_lineage(df: DataFrame, batch_id: str, ingested_at: datetime | None = No
         .agg(F.min("_row").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .select("_path", "_split", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
+    offsets = stage(offsets, "split_offsets")
     line = F.col("_row") - F.col("_first") + F.col("_before") + 2
     return rows.join(offsets, ["_path", "_split"]).select(
         *columns,

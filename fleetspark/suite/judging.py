@@ -138,7 +138,7 @@ def _(spark, sf_dir):
     """Every error as an alert: irregular times, many chunks, 24-hour cool-down."""
     w = event_world(spark, sf_dir)
     alerts = w.errors.select("machine_id", "timestamp").distinct().withColumn(w.p.target, F.lit(0).cast("tinyint"))
-    return E.inspections(alerts, w.p, 24 * 3_600_000_000).select("machine_id", "timestamp")
+    return E.inspections(alerts, w.p.for_events(), 24 * 3_600_000_000).select("machine_id", "timestamp")
 
 
 @query("m5_event_savings", "SELECT components, count(*) AS events, sum(saving) AS saving FROM seen_t GROUP BY components")

@@ -27,7 +27,7 @@ DAY = 24 * 3_600_000_000
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
-    return J.exists_between(w.errors, w.failures, w.p, 0, DAY, "fails_soon")
+    return J.exists_between(w.errors, w.failures, w.p.for_events(), DAY, "fails_soon")
 
 
 @query(
@@ -37,7 +37,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
-    return J.asof_backward(w.errors, w.maintenance, w.p, {c: F.col("component") == c for c in COMPS})
+    return J.asof_backward(w.errors, w.maintenance, w.p.for_events(), {c: F.col("component") == c for c in COMPS})
 
 
 @query(
@@ -47,7 +47,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
-    return J.next_after(w.errors, w.failures, w.p, {c: F.col("component") == c for c in COMPS})
+    return J.next_after(w.errors, w.failures, w.p.for_events(), {c: F.col("component") == c for c in COMPS})
 
 
 @query(

@@ -116,6 +116,20 @@ def test_input_order_and_chunk_length_do_not_matter(frames, p):
         assert sorted(map(str, C.clean(frames.readings(rows), replace(p, chunk_steps=steps)).collect())) == expected
 
 
+def test_clean_equals_its_rules_with_off_hour_rows(frames, p):
+    rng = random.Random(11)
+    rows = []
+    for h in range(90):
+        for part in (0, 0.25, 0.5, 0.75):
+            if rng.random() < (0.8 if part == 0 else 0.12):
+                rows.append((1, frames.at(h + part), len(rows) + 2, *[float(rng.choice([20, 20, 30])) for _ in range(4)]))
+    rows += [(m, t, n + 900, *[v + 1 for v in vs]) for m, t, n, *vs in rng.sample(rows, 12)]
+    df = frames.readings(rows)
+    single = C.null_stuck_runs(C.null_out_of_range(C.deduplicate(df, p), p), p)
+    expected = C.fill_short_gaps(C.regular_grid(single, p), p)
+    assert sorted(map(str, C.clean(df, p).collect())) == sorted(map(str, expected.select(C.clean(df, p).columns).collect()))
+
+
 def test_clean_does_not_grow_with_a_hot_key(frames, p):
     """Thousands of copies of one reading collapse before any per-machine work."""
     rows = frames.series([1.0, 2.0, 3.0]) + [(1, frames.at(1), 100 + i, *[9.0] * 4) for i in range(2000)]

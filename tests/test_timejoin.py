@@ -57,7 +57,7 @@ def test_window_bounds(frames, p):
 
 def test_exists_looks_strictly_ahead(frames, p):
     events = frames.events([(1, 30, "a")])
-    got = J.exists_between(frames.spine([5, 6, 29, 30, 31]), events, p, 0, 24 * HOUR_US, "soon")
+    got = J.exists_between(frames.spine([5, 6, 29, 30, 31]), events, p, 24 * HOUR_US, "soon")
     assert frames.column(got, "soon") == [False, True, True, False, False]
 
 
