@@ -30,6 +30,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from fleetspark.llm.shipping import map_batches
+
 #: Pieces of text taken from the splitter at a time, and tokens decoded at a time.
 BLOCK = 1 << 16
 
@@ -253,4 +255,4 @@ def encode_decode(docs: DataFrame, path: str, pattern: str, text: str = "text")
                     [*columns, pa.array(ids, pa.binary()), pa.array(decoded, pa.binary())], [f.name for f in schema]
                 )
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)

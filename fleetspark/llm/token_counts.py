@@ -25,6 +25,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from fleetspark.llm.shipping import map_batches
+
 #: Pre-tokens counted at a time from one text, and symbols merged at a time.
 BLOCK = 1 << 16
 SYMBOLS = 1 << 20
@@ -178,4 +180,4 @@ def with_token_counts(docs: DataFrame, path: str, pattern: str, text: str = "tex
                 columns = [part.column(part.schema.get_field_index(f.name)) for f in kept]
                 yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int64())], [f.name for f in schema])
 
-    return docs.mapInArrow(run, schema)
+    return map_batches(docs, run, schema)
