@@ -51,10 +51,13 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
-def word_hashes(data: np.ndarray, offsets: np.ndarray, fold_case: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(
+    data: np.ndarray, offsets: np.ndarray, fold_case: bool = False, leads: tuple[int, ...] = ()
+) -> tuple[np.ndarray, np.ndarray]:
     """The hash of every word in order, and the n + 1 offsets of the rows in that list.
 
-    ``fold_case`` takes A-Z as a-z. No word crosses a row.
+    ``fold_case`` takes A-Z as a-z. No word crosses a row. With ``leads`` the hashes have a row for
+    the whole words and one for each length in ``leads``, of the words' first so many bytes.
     """
     table = _BYTE_FOLDED if fold_case else _BYTE
     hashes, starts_all, at = [], [], 0
@@ -78,9 +81,15 @@ def word_hashes(data: np.ndarray, offsets: np.ndarray, fold_case: bool = False)
             begins = np.concatenate(([0], np.cumsum(lengths)[:-1]))
             within = np.arange(len(places)) - np.repeat(begins, lengths)
             values = table[part[places]] * _powers(int(lengths.max()))[within]
-            hashes.append(mix(np.add.reduceat(values, begins) + lengths.astype(np.uint64)))
+            found = [mix(np.add.reduceat(values, begins) + lengths.astype(np.uint64))]
+            for lead in leads:
+                sums = np.add.reduceat(np.where(within < lead, values, np.uint64(0)), begins)
+                found.append(mix(sums + np.minimum(lengths, lead).astype(np.uint64)))
+            hashes.append(found)
             starts_all.append(starts + at)
         at = end
     if not hashes:
-        return np.zeros(0, np.uint64), np.zeros(len(offsets), np.int64)
-    return np.concatenate(hashes), np.searchsorted(np.concatenate(starts_all), offsets, "left")
+        empty = np.zeros((1 + len(leads), 0), np.uint64)
+        return (empty if leads else empty[0]), np.zeros(len(offsets), np.int64)
+    joined = np.concatenate([np.stack(h) for h in hashes], axis=1)
+    return (joined if leads else joined[0]), np.searchsorted(np.concatenate(starts_all), offsets, "left")

@@ -23,6 +23,7 @@ import base64
 from collections.abc import Iterator
 from functools import lru_cache
 from itertools import islice
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +35,7 @@ from fleetspark.llm.shipping import map_batches
 
 #: Pieces of text taken from the splitter at a time, and tokens decoded at a time.
 BLOCK = 1 << 16
+_NEVER = 1 << 60
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -44,91 +46,131 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Tokens of byte strings under ``ranks``; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._length = {rank: len(token) for token, rank in ranks.items()}
-        self._openings = {token[:k] for token in ranks for k in range(1, len(token))}
+        #: For each token and each beginning of one: (rank + 1, or 0) * 2 + (it may go on).
+        self._parts = {token: (rank + 1) << 1 for token, rank in ranks.items()}
+        for token in ranks:
+            for k in range(1, len(token)):
+                self._parts[token[:k]] = self._parts.get(token[:k], 0) | 1
         self._max_states = max_states
         self._stable: dict[int, bool] = {}
+        self._edge_lists: dict[int, tuple[list, list]] = {}
         self._clear()
 
     def _clear(self) -> None:
         #: For each state: bytes read since the last emitted token, last token of each of their
-        #: prefixes (the emitted one first), places where a token that is still open may start.
-        self._states: list[tuple[bytes, list[int | None], list[int]]] = []
+        #: prefixes (the emitted one first), places and bytes of tokens that may still be open.
+        self._states: list[tuple[bytes, tuple[int, ...], tuple[tuple[int, bytes], ...]]] = []
         self._names: dict[tuple[int, bytes], int] = {}
         self._next: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._state(-1, b"", [-1], [0])
+        self._state(b"", (-1,), ((0, b""),))
 
-    def _state(self, last: int, pending: bytes, ends: list[int | None], live: list[int]) -> int:
-        name = self._names.setdefault((last, pending), len(self._states))
+    def _state(self, pending: bytes, ends: tuple[int, ...], live: tuple[tuple[int, bytes], ...]) -> int:
+        name = self._names.setdefault((ends[0], pending), len(self._states))
         if name == len(self._states):
             self._states.append((pending, ends, live))
         return name
 
-    def _merged(self, text: bytes) -> list[int]:
-        """Merge by rank, lowest first and leftmost among equals; for strings of two tokens at most."""
-        rank, none = self.ranks.get, 1 << 60
-        parts = [text[i : i + 1] for i in range(len(text))]
-        pairs = [rank(text[i : i + 2], none) for i in range(len(text) - 1)]
-        while pairs:
-            best = min(pairs)
-            if best == none:
-                break
-            at = pairs.index(best)
-            parts[at] += parts.pop(at + 1)
-            del pairs[at]
-            if at:
-                pairs[at - 1] = rank(parts[at - 1] + parts[at], none)
-            if at < len(pairs):
-                pairs[at] = rank(parts[at] + parts[at + 1], none)
-        return [self.ranks[p] for p in parts]
+    def _edges(self, token: int) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
+        """The first and the last parts a token has while its bytes are merged, lowest rank first
+        and leftmost among equals, each with the rank of the merge that ends it; none for a token
+        that merging does not make."""
+        known = self._edge_lists.get(token)
+        if known is None:
+            text, rank = self.tokens[token], self.ranks.get
+            parts = [text[i : i + 1] for i in range(len(text))]
+            pairs = [rank(text[i : i + 2], _NEVER) for i in range(len(text) - 1)]
+            left, right = [], []
+            while pairs and (best := min(pairs)) < _NEVER:
+                at = pairs.index(best)
+                if at == 0:
+                    left.append((parts[0], best))
+                if at == len(pairs) - 1:
+                    right.append((parts[-1], best))
+                parts[at] += parts.pop(at + 1)
+                del pairs[at]
+                if at:
+                    pairs[at - 1] = rank(parts[at - 1] + parts[at], _NEVER)
+                if at < len(pairs):
+                    pairs[at] = rank(parts[at] + parts[at + 1], _NEVER)
+            whole = [(text, _NEVER)] if len(parts) == 1 else []
+            known = self._edge_lists[token] = (left + whole, right + whole) if whole else ([], [])
+        return known
 
     def _pair(self, left: int, right: int) -> bool:
-        """Whether ``right`` may follow ``left``; left is -1 at the start of a piece."""
+        """Whether ``right`` may follow ``left`` (-1 at the start of a piece).
+
+        It may not if a merge across their border comes before the merges that end the parts on
+        both sides of it; parts that exist at the same time are walked through in that order.
+        """
         key = left << 32 | right
         known = self._stable.get(key)
-        if known is None:
-            if len(self._stable) >= 4 * self._max_states:
-                self._stable.clear()
-            if left < 0:
-                known = self._merged(self.tokens[right]) == [right]
-            else:
-                both = self.tokens[left] + self.tokens[right]
-                known = both not in self.ranks and self._merged(both) == [left, right]
-            self._stable[key] = known
+        if known is not None:
+            return known
+        if len(self._stable) >= 4 * self._max_states:
+            self._stable.clear()
+        firsts, known = self._edges(right)[0], False
+        if left < 0:
+            known = bool(firsts)
+        elif firsts and (lasts := self._edges(left)[1]):
+            i = j = 0
+            while True:
+                (x, x_ends), (y, y_ends) = lasts[i], firsts[j]
+                across = self.ranks.get(x + y, _NEVER)
+                if across < x_ends and across <= y_ends:
+                    break
+                if x_ends == y_ends == _NEVER:
+                    known = True
+                    break
+                if x_ends <= y_ends:
+                    i += 1
+                else:
+                    j += 1
+        self._stable[key] = known
         return known
 
     def _step(self, state: int, byte: int) -> tuple[int, tuple[int, ...]]:
         pending, ends, live = self._states[state]
-        pending += bytes((byte,))
-        n, found, still = len(pending), None, []
-        for start in live:
-            part = pending[start:]
-            if found is None:
-                token = self.ranks.get(part)
-                if token is not None and self._pair(ends[start], token):
-                    found = token
-            if part in self._openings:
-                still.append(start)
-        if found is None:
+        letter, parts, length = bytes((byte,)), self._parts.get, self._length
+        n, found, still = len(pending) + 1, -1, []
+        for start, part in live:
+            part += letter
+            code = parts(part)
+            if code is not None:
+                if found < 0 and code > 1 and self._pair(ends[start], (code >> 1) - 1):
+                    found = (code >> 1) - 1
+                if code & 1:
+                    still.append((start, part))
+        if found < 0:
             raise ValueError("the ranks lack a single byte or a part of a token")
-        ends, still, length = [*ends, found], [*still, n], self._length
+        ends += (found,)
         # Walk back until all open places meet: everything before that place is settled.
-        meet = {n, *still}
-        while len(meet) > 1:
-            last = max(meet)
-            meet.remove(last)
-            meet.add(last - length[ends[last]])
-        cut = meet.pop()
+        cut, meet = n, [start for start, _ in still]
+        while meet:
+            if cut > meet[-1]:
+                cut -= length[ends[cut]]
+            elif cut < meet[-1]:
+                at = meet.pop()
+                at -= length[ends[at]]
+                if at not in meet:
+                    meet.append(at)
+                    meet.sort()
+            else:
+                meet.pop()
         emitted, at = [], cut
         while at:
             emitted.append(ends[at])
             at -= length[ends[at]]
+        still.append((n, b""))
         if cut:
-            pending, ends, still = pending[cut:], ends[cut:], [p - cut for p in still]
-        arc = self._state(ends[0], pending, ends, still), tuple(reversed(emitted))
+            pending, ends = pending[cut:] + letter if cut < n else b"", ends[cut:]
+            still = [(start - cut, part) for start, part in still]
+        else:
+            pending += letter
+        arc = self._state(pending, ends, tuple(still)), tuple(reversed(emitted))
         self._next[state << 8 | byte] = arc
         return arc
 
@@ -141,13 +183,15 @@ class Transducer:
         state, out, arcs = 0, [], self._next
         for byte in piece:
             arc = arcs.get(state << 8 | byte)
-            state, emitted = arc or self._step(state, byte)
+            if arc is None:
+                arc = self._step(state, byte)
+                if len(self._states) > 2 * self._max_states:  # one piece made as many states as all others may
+                    kept = self._states[arc[0]]
+                    self._clear()
+                    arcs, arc = self._next, (self._state(*kept), arc[1])
+            state, emitted = arc
             if emitted:
                 out += emitted
-            if len(self._states) > 2 * self._max_states:  # one piece made as many states as all others may
-                pending, ends, live = self._states[state]
-                self._clear()
-                state, arcs = self._state(ends[0], pending, ends, live), self._next
         _, ends, _ = self._states[state]
         rest, at = [], len(ends) - 1
         while at:
@@ -157,16 +201,24 @@ class Transducer:
 
 
 class PieceCache(dict):
-    """Ids of short pieces as little-endian bytes, filled when asked and emptied when full."""
+    """Ids of short pieces as little-endian bytes, made when first asked for.
+
+    Past ``most`` pieces a new generation begins; pieces of the one before it that are asked for
+    again move over, the others are forgotten.
+    """
 
-    def __init__(self, encode, most: int = 500_000, longest: int = 64):
+    def __init__(self, encode, most: int = 400_000, longest: int = 64):
         super().__init__()
-        self._encode, self._most, self._longest = encode, most, longest
+        self._encode, self._most, self._longest, self._before = encode, most, longest, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self._encode(piece.encode()), "<u4").tobytes()
+        ids = self._before.get(piece)
+        if ids is None:
+            tokens = self._encode(piece.encode())
+            ids = pack(f"<{len(tokens)}I", *tokens)
         if len(piece) <= self._longest:
             if len(self) >= self._most:
+                self._before = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
@@ -204,7 +256,7 @@ class Utf8Machine:
 class ByteBpe:
     """Encoder and decoder of one rank file; each task makes its own and keeps it."""
 
-    def __init__(self, path: str, pattern: str, max_states: int = 150_000):
+    def __init__(self, path: str, pattern: str, max_states: int = 200_000):
         self._split = regex.compile(pattern)
         self._transducer = Transducer(read_ranks(path), max_states)
         self._cache = PieceCache(self._transducer.encode)
