@@ -1,8 +1,9 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are the positives; every other text, whatever its label says, is unlabelled.
-Features are words and their leading bytes, as 64-bit hashes, that differ between the two samples
-by ``Settings.least_z`` standard errors. A linear numpy classifier over them is trained by the risk
+Features are words and their leading bytes, as 64-bit hashes, that are more frequent among the
+positives by ``Settings.least_z`` standard errors (of the square roots of the counts) and make a
+text toxic with a chance of ``Settings.least_purity`` or more by the two rates. A linear numpy classifier over them is trained by the risk
 
     prior * loss+(positives) + max(0, loss-(unlabelled) - prior * loss-(positives))
 
@@ -46,7 +47,8 @@ class Settings:
     positives: int = 4_000
     unlabelled: int = 8_000
     leads: tuple[int, ...] = (4, 5, 6)
-    least_z: float = 5.0
+    least_z: float = 3.2
+    least_purity: float = 0.8
     steps: int = 400
     rate: float = 0.05
     decay: float = 1e-5
@@ -170,10 +172,10 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     counts = listed.select("positive", F.explode("features").alias("feature")).groupBy("feature").agg(
         F.sum(F.col("positive").cast("long")).alias("p"), F.count("*").alias("both")
     )
-    pooled = F.col("both") / (n_p + n_u)
-    z = (F.col("p") / n_p - (F.col("both") - F.col("p")) / n_u) / F.sqrt(pooled * (1 - pooled) * (1 / n_p + 1 / n_u))
-    # A feature in every text has no z and is dropped.
-    kept = counts.where((F.col("both") < n_p + n_u) & (F.abs(z) >= s.least_z)).select("feature").toPandas()
+    others = F.col("both") - F.col("p")
+    z = 2 * (F.sqrt("p") - F.sqrt(n_p * (others + 1) / n_u))
+    purity = prior * (F.col("p") / n_p) * n_u / (others + 0.5)
+    kept = counts.where((z >= s.least_z) & (purity >= s.least_purity)).select("feature").toPandas()
     names = np.sort(kept["feature"].to_numpy(np.int64).view(np.uint64))
 
     def find_features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
