@@ -1,6 +1,6 @@
 """Importing this module registers every query of the subpackage."""
 
-from fleetspark.llm.queries import bpe, counts, html, mixture, quality, shingles, toxic, urls, vectors  # noqa: F401
+from fleetspark.llm.queries import bpe, counts, html, licenses, mixture, quality, shingles, toxic, urls, vectors  # noqa: F401
 from fleetspark.llm.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
