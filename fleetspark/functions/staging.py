@@ -36,4 +36,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/layers/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._staged_at = path  # for release()
+    return table
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete staged tables that nothing reads any more; others are left alone."""
+    for table in tables:
+        path = getattr(table, "_staged_at", None)
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            where = context._jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
