@@ -31,13 +31,14 @@ an id are left out. Only the two named columns are read, so other columns can ha
 from __future__ import annotations
 
 from collections.abc import Iterator
+from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.functions.staging import stage
+from fleetspark.functions.staging import release, stage
 from fleetspark.llm.arrow_text import flat, mix, word_hashes
 from fleetspark.llm.components import merge
 from fleetspark.llm.shipping import map_batches
@@ -75,7 +76,7 @@ class SizeClasses:
     """
 
     def __init__(self, percent: int):
-        self._percent, self._firsts = percent, [1]
+        self._percent, self._firsts, self._spare = percent, [1], {}
 
     def of(self, size: int) -> int:
         while self._firsts[-1] <= size:
@@ -88,24 +89,44 @@ class SizeClasses:
         largest, p = self._firsts[c + 1] - 1, self._percent
         return (largest + largest * 100 // p) * (100 - p) // (100 + p)
 
+    def spare(self, c: int) -> int:
+        """Spare groups of the class, by its smallest size."""
+        if c not in self._spare:
+            self._spare[c] = spare_groups(self._firsts[c], self.differing(c))
+        return self._spare[c]
 
-def boxes(points: np.ndarray, c: int, differing: int) -> np.ndarray:
-    """The upper boxes of a set in class ``c``: one for each group, of every level it enters."""
-    k, out = differing + 1, []
+
+def spare_groups(size: int, differing: int) -> int:
+    """Groups to have beyond ``differing`` + 1, so that a set of ``size`` seldom leaves more than these empty.
+
+    None for small sets, where every further group would be empty.
+    """
+    for spare in range(differing + 2):
+        k = differing + 1 + spare
+        empty = k * exp(-size / k)
+        if spare >= empty + 1.5 * sqrt(empty) or empty < 0.1:
+            return spare
+    return 0
+
+
+def boxes(points: np.ndarray, c: int, differing: int, spare: int) -> np.ndarray:
+    """The upper boxes of a set in class ``c``: one for each group that is not empty, of every level it enters."""
+    k, out = differing + 1 + spare, []
     for level in range(LEVELS):
         salted = mix(points + np.uint64(level * 1_000_003 + 1))
         group = ((salted >> np.uint64(8)) % np.uint64(k)).astype(np.int64)
         order = np.argsort(group, kind="stable")
         names, firsts = np.unique(group[order], return_index=True)
         sums = np.add.reduceat(mix(salted)[order], firsts)
-        last = level == LEVELS - 1
-        if last and len(names) < k:
+        # More than ``spare`` groups of a pair are the same: not all are empty in a set with this few.
+        enough = k - len(names) <= spare
+        if level == LEVELS - 1 and not enough:
             full = np.zeros(k, np.uint64)
             full[names] = sums
             names, sums = np.arange(k), full
         place = np.array([c << 8 | level], np.uint64) * _ORDER[0]
         out.append(mix(sums + mix(names.astype(np.uint64) * _ORDER[1] + place)))
-        if len(names) == k:
+        if enough:
             break
     return np.concatenate(out)
 
@@ -144,7 +165,7 @@ class _Signature:
         for c in (own, own - 1):
             # No shingle may differ: the sets are equal and already one node.
             d = self._classes.differing(c) if c >= 0 else 0
-            found.append(boxes(points, c, d) if d else np.zeros(0, np.uint64))
+            found.append(boxes(points, c, d, self._classes.spare(c)) if d else np.zeros(0, np.uint64))
         high, low = (mix(points + salt).sum(dtype=np.uint64).view(np.int64) for salt in _ORDER)
         return len(points), int(high), int(low), len(found[0]), np.concatenate(found).view(np.int64)
 
@@ -271,11 +292,13 @@ def similar_components(
     shared = entries.groupBy("box").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("own").alias("own"))
     shared = shared.where("least < most and own").select("box")
     entries = stage(entries.join(shared, "box", "left_semi").select("box", "id"), "boxes")
+    named = stage(signed.select("id", *same), "names")
+    release(signed)
 
     points = _Points()
     wanted = entries.select(F.col("id").alias(key)).distinct()
     sets = stage(_sets(docs.select(key, text).join(wanted, key, "left_semi"), key, text, width, points, points.schema), "sets")
-    labels = sets.select("id", F.col("id").alias("label")).distinct()
+    labels = stage(sets.select("id", F.col("id").alias("label")).distinct(), "labels")
 
     for turn in range(ROUNDS):
         open_entries = _open(entries, labels)
@@ -284,7 +307,9 @@ def similar_components(
         )
         met = open_entries.join(offered.select("box", "offer.*"), "box").where("label != b_label")
         pairs = met.select(F.least("id", "b").alias("a"), F.greatest("id", "b").alias("b")).distinct()
-        labels = merge(labels, stage(_verified(pairs, sets, percent), "links"))
+        links = stage(_verified(pairs, sets, percent), "links")
+        labels = merge(labels, links)
+        release(open_entries, links)
 
     open_entries = _open(entries, labels)
     sizes = open_entries.groupBy("box").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
@@ -293,12 +318,15 @@ def similar_components(
     tiled = tiled.select("box", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "label")
     tiled = tiled.join(sets.select("id", "n", "counts"), "id").repartition("box", "i", "j").sortWithinPartitions("box", "i", "j")
     pairs = map_batches(tiled, _search_tiles(percent), "a long, b long").distinct()
-    labels = merge(labels, stage(_verified(pairs, sets, percent), "links"))
+    links = stage(_verified(pairs, sets, percent), "links")
+    labels = merge(labels, links)
+    release(open_entries, links)
 
-    classes = filled.groupBy(*same).agg(F.min("id").alias("node"))
+    classes = named.where("n_shingles > 0").groupBy(*same).agg(F.min("id").alias("node"))
     classes = classes.join(labels.select(F.col("id").alias("node"), "label"), "node", "left")
     classes = classes.select(*same, F.coalesce("label", "node").alias("component_id"))
-    found = signed.select("id", *same).join(classes, same, "left")
+    release(entries, sets)
+    found = named.join(classes, same, "left")
     return found.select("id", "n_shingles", F.coalesce("component_id", "id").alias("component_id"))
 
 

@@ -1,6 +1,20 @@
 """Importing this module registers every query of the subpackage."""
 
-from fleetspark.llm.queries import bpe, counts, html, licenses, mixture, quality, shingles, toxic, urls, vectors  # noqa: F401
-from fleetspark.llm.registry import ORACLES, QUERIES
+import corpus_pipeline
+from fleetspark.llm.queries import (  # noqa: F401
+    bpe,
+    counts,
+    html,
+    licenses,
+    mixture,
+    quality,
+    shingles,
+    toxic,
+    urls,
+    vectors,
+)
+from fleetspark.llm.registry import ORACLES, QUERIES, query
+
+query("pipeline", corpus_pipeline.ORACLE_SQL)(corpus_pipeline.run)
 
 __all__ = ["ORACLES", "QUERIES"]
