@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import stage
 from fleetspark.llm.mixing import mixed
-from fleetspark.llm.quality_rules import STATISTICS, base_failed, decide, features, with_statistics
+from fleetspark.llm.quality_rules import passing, with_statistics
 from fleetspark.llm.queries import bpe, quality, toxic
 from fleetspark.llm.registry import table
 from fleetspark.llm.shingle_join import similar_components
@@ -26,29 +26,43 @@ from fleetspark.llm.toxicity import with_scores
 WIDTH, PERCENT = 5, 80
 
 
+#: Columns that stages read; all others only pass through.
+READ = ("doc_id", "text", "source")
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    """``docs`` with the columns that no stage reads under names that no stage adds."""
+    return docs.select(*[F.col(f"`{c}`").alias(c if c in READ else f"_{i}") for i, c in enumerate(docs.columns)])
+
+
+def _named(df: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` again."""
+    return df.select(*[F.col(c if c in READ else f"_{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no fixed or learned rule rejects."""
     measured = stage(with_statistics(docs.select("doc_id", "text")).drop("text"), "statistics")
-    rejected = decide(quality.rules(measured, table(spark, sf_dir, "labels")), features())
-    return with_statistics(docs).where(~base_failed() & rejected.isNull()).drop(*STATISTICS)
+    rules = quality.rules(measured, table(spark, sf_dir, "labels"))
+    return _named(passing(_plain(docs), rules), docs)
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose chance of being toxic is below one half."""
     model = toxic.model(docs, table(spark, sf_dir, "labels"))
-    return with_scores(docs, model).where("score < 0.5").drop("score")
+    return _named(with_scores(_plain(docs), model).where("score < 0.5"), docs)
 
 
 def ngram_jaccard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near copies; rows without an id stay."""
     groups = similar_components(docs, percent=PERCENT, width=WIDTH)
     copies = groups.where("component_id <> id").select(F.col("id").alias("doc_id")).distinct()
-    return docs.join(copies, "doc_id", "left_anti").select(docs.columns)
+    return _named(_plain(docs).join(copies, "doc_id", "left_anti"), docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source is passed at the target weights; none is lost."""
-    return mixed(docs).select(docs.columns)
+    return _named(mixed(_plain(docs)), docs)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -75,6 +75,15 @@ def base_failed() -> Column:
     return (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
 
 
+def passing(docs: DataFrame, rules: list[tuple[Condition, ...]], text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that neither a fixed nor a learned rule rejects."""
+    # The row number keeps Spark from moving the filter below the statistics, where each use of a
+    # statistic would become a copy of all that computes it.
+    measured = with_statistics(docs, text).withColumn("_row", F.monotonically_increasing_id())
+    fits = (F.col("_row") >= 0) & ~base_failed() & decide(rules, features()).isNull()
+    return measured.where(fits).drop("_row", *STATISTICS)
+
+
 def features() -> dict[str, Column]:
     """What conditions are made of; all finite for every text."""
     words, chars = F.greatest(F.col("n_words"), F.lit(1)), F.greatest(F.col("word_chars"), F.lit(1))
