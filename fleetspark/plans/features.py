@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -11,6 +13,38 @@ from fleetspark.operators.timejoin import latest_per_time, union_with_carry
 from fleetspark.params import HOUR_US, FleetParams
 
 MACHINE_COLUMNS = ("model", "age", "plant_id", "line_id")
+#: What a sensor measures, as sentences name it.
+QUANTITIES = {"volt": "voltage", "rotate": "rotation", "pressure": "pressure", "vibration": "vibration"}
+
+
+@dataclass(frozen=True)
+class Input:
+    """A model input: the group it is explained with, what it is about, what it says, over how many steps."""
+
+    group: str
+    about: str
+    says: str = "value"
+    steps: int | None = None
+
+
+def catalogue(p: FleetParams) -> dict[str, Input]:
+    """Every input that this module makes, by its column."""
+    known: dict[str, Input] = {}
+    for s in p.sensors:
+        quantity = QUANTITIES.get(s, s)
+        for n in p.windows:
+            known[f"{s}_mean_{n}{p.unit}"] = Input(quantity, quantity, "mean", n)
+            known[f"{s}_std_{n}{p.unit}"] = Input(quantity, quantity, "variability", n)
+        known[f"{s}_trend"] = Input(quantity, quantity, "trend")
+        for q in ("filled", "missing"):
+            known[f"{s}_{q}_share_{p.longest}{p.unit}"] = Input(quantity, quantity, "share", p.longest)
+    for e in p.error_types:
+        known[f"{e}_count_{p.longest}{p.unit}"] = Input("errors", e, "count", p.longest)
+    known[f"errors_total_{p.longest}{p.unit}"] = Input("errors", "errors (all types)", "count", p.longest)
+    for c in p.components:
+        known[f"hours_since_{c}_replaced"] = Input("component wear", c, "wear")
+    groups = {"model": "machine", "age": "machine"}
+    return known | {c: Input(groups.get(c, "other"), c) for c in MACHINE_COLUMNS}
 
 
 def sensor_feature_names(p: FleetParams) -> list[str]:
