@@ -9,16 +9,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.functions.ordered import exact_quantiles, running_totals
+from fleetspark.functions.ordered import exact_quantiles, global_rank, running_totals
 from fleetspark.functions.staging import stage
 from fleetspark.functions.times import from_micros, micros
 from fleetspark.functions.typing import n_if, ratio
 from fleetspark.operators.chunks import own_chunk, with_us
 from fleetspark.params import HOUR_US, FleetParams
 
-# Mean month and the size of the threshold grid.
+# Fixed value: hours of a mean month.
 HOURS_PER_MONTH = 365.25 * 24 / 12
-MAX_THRESHOLDS = 200
 
 
 def costs_relation(dim_component: DataFrame, p: FleetParams) -> DataFrame:
@@ -213,26 +212,27 @@ def evaluate(
     )
 
 
-def candidate_probabilities() -> list[float]:
-    """Quantiles of the upper half of the scores, denser towards the top."""
-    lo, hi = 0.5, 1e-4
-    n = MAX_THRESHOLDS
-    return [1 - lo * (hi / lo) ** (i / (n - 1)) for i in range(n)]
+def candidate_shares(n: int) -> list[int]:
+    """Which of the distinct scores are candidates, in millionths of their number from the lowest up.
 
-
-def threshold_candidates(rows: DataFrame) -> DataFrame:
-    """At most ``MAX_THRESHOLDS`` thresholds plus one above every score ("never alert").
-
-    Few distinct scores are used as they are; otherwise exact quantiles are. Which case holds
-    is one count, read before the plan is built.
+    Half of them are evenly spread, so up to ``n // 2`` distinct scores are all taken; the other
+    half lies in the upper part and gets denser towards the top.
     """
-    distinct = rows.select(F.col("score").cast("double").alias("threshold")).distinct()
-    if distinct.limit(MAX_THRESHOLDS + 1).count() > MAX_THRESHOLDS:
-        distinct = exact_quantiles(rows, "score", candidate_probabilities()).select(
-            F.col("quantile").alias("threshold")
-        ).distinct()
+    even, top = n // 2, n - n // 2
+    spread = [round(1e6 * (i + 1) / even) for i in range(even)]
+    return sorted({*spread, *[round(1e6 * (1 - 0.5 * 5000 ** (-i / max(1, top - 1)))) for i in range(top)]})
+
+
+def threshold_candidates(rows: DataFrame, n: int = FleetParams.thresholds) -> DataFrame:
+    """At most ``n`` of the distinct scores as thresholds, and one above every score ("never alert")."""
+    scores = stage(rows.select(F.col("score").cast("double").alias("threshold")).where("threshold is not null").distinct(), "scores")
+    size = scores.agg(F.count("*").alias("_size"))
+    share = F.explode(F.array(*[F.lit(m).cast("bigint") for m in candidate_shares(n)]))
+    # One row with the number of scores becomes at most ``n`` ranks.
+    ranks = size.where("_size > 0").select("_size", share.alias("_m")).select(F.expr("(_size * _m + 999999) div 1000000").alias("_rank")).distinct()
+    ranked = global_rank(scores, [("threshold", False)], "_rank", unique=True)
     never = rows.agg((F.max("score") + 1.0).alias("threshold"))
-    return distinct.unionByName(never)
+    return ranked.join(F.broadcast(ranks), "_rank").select("threshold").unionByName(never)
 
 
 def net_saving_curve(

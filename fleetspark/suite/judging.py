@@ -177,11 +177,11 @@ block(
     "val_e",
     f"SELECT {ROW}, anomaly_score AS score FROM parts_e JOIN anomaly_e USING (machine_id, timestamp) WHERE part = 'validation'",
 )
-_probs = "[" + ", ".join(repr(q) for q in E.candidate_probabilities()) + "]"
 block(
     "candidates_e",
-    f"""SELECT DISTINCT score AS threshold FROM val_e WHERE (SELECT count(DISTINCT score) FROM val_e) <= 200
-UNION SELECT DISTINCT unnest(quantile_cont(score, {_probs})) FROM val_e WHERE (SELECT count(DISTINCT score) FROM val_e) > 200
+    f"""SELECT score AS threshold FROM (SELECT score, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS size
+  FROM (SELECT DISTINCT score FROM val_e WHERE score IS NOT NULL))
+WHERE place IN (SELECT (size * m + 999999) // 1000000 FROM (SELECT unnest({E.candidate_shares(P.thresholds)}) AS m))
 UNION ALL SELECT max(score) + 1.0 FROM val_e""",
 )
 block("curve_rows_e", "SELECT v.*, t.threshold FROM val_e AS v JOIN candidates_e AS t ON v.score >= t.threshold")

@@ -20,9 +20,6 @@ from fleetspark.suite.layers import round6
 from fleetspark.suite.registry import block, query, r6
 from fleetspark.suite.worlds import event_world
 
-SMALL = {"maxIter": 5}
-
-
 class Trained:
     """Models of one world, trained once per session."""
 
@@ -39,12 +36,12 @@ class Trained:
 
     @cached_property
     def failure(self) -> M.FailureModel:
-        return M.train_failure_model(self.parts, self.features, self.w.costs, self.p, **SMALL)
+        return M.train_failure_model(self.parts, self.features, self.w.costs, self.p)
 
     @cached_property
     def components(self) -> dict:
         rows = self.parts.where("part = 'development'")
-        return M.train_component_models(rows, self.features, self.p, maxDepth=3, **SMALL)
+        return M.train_component_models(rows, self.features, self.p)
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -60,10 +57,10 @@ _trained: dict = {}
 
 
 def trained(spark, sf_dir) -> Trained:
-    w = event_world(spark, sf_dir)
-    if id(w) not in _trained:
-        _trained[id(w)] = Trained(w)
-    return _trained[id(w)]
+    key = spark.sparkContext.applicationId, sf_dir
+    if key not in _trained:
+        _trained[key] = Trained(event_world(spark, sf_dir))
+    return _trained[key]
 
 
 @query("m9_failure_model")
@@ -75,7 +72,7 @@ def _(spark, sf_dir):
 @query("m10_shuffled_label_check")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
-    return M.shuffled_label_check(t.parts, t.features, t.p, {"maxDepth": 3, **SMALL})
+    return M.shuffled_label_check(t.parts, t.features, t.p, t.failure.params)
 
 
 @query("m11_component_diagnosis")
@@ -212,7 +209,7 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
     score = M.scorer(t.failure.model, t.features)
-    return M.group_importance(t.parts.where("part = 'test'"), t.features, score, t.p, repeats=2)
+    return M.group_importance(t.parts.where("part = 'test'"), t.features, score, t.p)
 
 
 @query("m18_score_all")

@@ -124,3 +124,12 @@ def test_small_model_learns(spark, frames, p):
     df = df.withColumn(p.target, (F.col("x") > 0.7).cast("tinyint"))
     model = M.fit(df, ["x", "model"], p.target, 1, maxIter=3, maxDepth=2)
     assert E.ranking(M.scorer(model, ["x", "model"])(df), p.target).first()["pr_auc"] > 0.95
+
+
+@pytest.mark.parametrize("n", [1, 100, 200, 201, 1000])
+def test_one_threshold_rule_for_every_number_of_scores(spark, n):
+    df = spark.range(n).selectExpr("id / 7 AS score")
+    got = sorted(r["threshold"] for r in E.threshold_candidates(df, 200).collect())
+    places = {max(1, -(-n * m // 1_000_000)) for m in E.candidate_shares(200)}
+    assert got == pytest.approx([*[(k - 1) / 7 for k in sorted(places)], (n - 1) / 7 + 1])
+    assert len(got) <= 201 and (n > 100 or len(got) == n + 1)
