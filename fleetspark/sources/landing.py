@@ -16,10 +16,6 @@ LEDGER_SCHEMA = (
     "table_name string, source_file string, fingerprint string, length bigint, row_count bigint, "
     "source_columns array<string>, batch_id string, ingested_at timestamp"
 )
-# Files up to this size are hashed as one value; larger ones by their lines, in parallel.
-HASH_WHOLE_BYTES = 256 * 1024 * 1024
-HISTORY = 50
-
 
 class LandingError(ValueError):
     pass
@@ -39,16 +35,15 @@ def read_text_table(spark: SparkSession, path: str) -> DataFrame:
     return header
 
 
-def with_lineage(df: DataFrame, batch_id: str, ingested_at: datetime | None = None) -> DataFrame:
-    """Add source file, line number (the header is line 1), load time and batch.
+def _numbered(df: DataFrame) -> DataFrame:
+    """``df``, straight from a file scan, with ``_path`` and ``_line``: the row's place in its file from 0.
 
-    A line number is the row's position in its file split plus the rows of the earlier splits
-    of that file. The offsets are one row per split and are written, so that the join knows
-    their real size: broadcast below the configured threshold, shuffled above it.
+    A place is the row's position in its file split plus the rows of the earlier splits of that
+    file. The offsets are one row per split and are written, so that the join knows their real
+    size: broadcast below the configured threshold, shuffled above it.
     """
-    columns = df.columns
     rows = df.select(
-        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in columns],
+        *df.columns,
         F.col("_metadata.file_name").alias("_source_file"),
         F.col("_metadata.file_path").alias("_path"),
         F.col("_metadata.file_block_start").alias("_split"),
@@ -61,11 +56,16 @@ def with_lineage(df: DataFrame, batch_id: str, ingested_at: datetime | None = No
         .select("_path", "_split", "_first", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
     )
     offsets = stage(offsets, "split_offsets")
-    line = F.col("_row") - F.col("_first") + F.col("_before") + 2
-    return rows.join(offsets, ["_path", "_split"]).select(
-        *columns,
+    line = (F.col("_row") - F.col("_first") + F.col("_before")).cast("bigint")
+    return rows.join(offsets, ["_path", "_split"]).select(*df.columns, "_source_file", "_path", line.alias("_line"))
+
+
+def with_lineage(df: DataFrame, batch_id: str, ingested_at: datetime | None = None) -> DataFrame:
+    """Add source file, line number (the header is line 1), load time and batch."""
+    return _numbered(df).select(
+        *[F.coalesce(F.col(c), F.lit("")).alias(c) for c in df.columns],
         "_source_file",
-        line.cast("bigint").alias("_source_line"),
+        (F.col("_line") + 2).alias("_source_line"),
         (F.lit(ingested_at).cast("timestamp") if ingested_at else F.current_timestamp()).alias("_ingested_at"),
         F.lit(batch_id).alias("_batch_id"),
     )
@@ -90,49 +90,46 @@ def ingest_table(
 ) -> int:
     """Land one source under ``root/table`` and reconcile lines, rows read and rows written.
 
-    The table is written next to its target and only replaces it after the counts agree.
+    The table is written once, next to its target, and takes its place by renaming after the
+    counts agree; what was there until then is deleted last.
     """
     batch_id = batch_id or new_batch_id()
     landed = with_lineage(read_text_table(spark, source), batch_id)
-    staging = f"{root}/.incoming/{table}-{uuid.uuid4().hex}"
-    write_parquet(landed, staging)
-    written = spark.read.parquet(staging)
+    incoming, replaced = (f"{root}/.{kind}/{table}-{uuid.uuid4().hex}" for kind in ("incoming", "replaced"))
+    write_parquet(landed, incoming)
+    written = spark.read.parquet(incoming)
     n_lines, n_read, n_written = data_lines(spark, source), read_text_table(spark, source).count(), written.count()
     if not n_lines == n_read == n_written:
+        _delete(spark, incoming)
         raise LandingError(
             f"{table}: row count mismatch (lines {n_lines}, read {n_read}, written {n_written})"
         )
-    write_parquet(written, f"{root}/{table}")
+    if _exists(spark, f"{root}/{table}"):
+        _rename(spark, f"{root}/{table}", replaced)
+    _rename(spark, incoming, f"{root}/{table}")
+    _delete(spark, replaced)
     return n_written
 
 
 def fingerprints(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """(table_name, source_file, length, fingerprint) of every source file."""
+    """(table_name, source_file, length, fingerprint) of every source file.
+
+    Two sums over all lines of digests of line and line number: the same for every size and
+    split of a file, and another one if lines change places.
+    """
     out = None
     for table, path in paths.items():
-        files = spark.read.format("binaryFile").load(path)
-        small = files.where(F.col("length") <= HASH_WHOLE_BYTES).select(
-            "path", "length", F.sha2("content", 256).alias("fingerprint")
-        )
-        large = files.where(F.col("length") > HASH_WHOLE_BYTES).select("path", "length")
-        lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("path"))
-        by_lines = (
-            lines.join(large, "path")
-            .groupBy("path", "length")
-            .agg(
-                F.sha2(
-                    F.concat_ws(
-                        "-", F.count(F.lit(1)), F.sum(F.xxhash64("value").cast("decimal(38,0)")).cast("string")
-                    ),
-                    256,
-                ).alias("fingerprint")
-            )
-        )
-        part = small.unionByName(by_lines.select("path", "length", "fingerprint")).select(
+        files = spark.read.format("binaryFile").load(path).select("path", "length")
+        lines = _numbered(spark.read.text(path))
+        digest = F.md5(F.concat_ws(":", "_line", "value"))
+        half = lambda start: F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)"))
+        sums = lines.groupBy("_path").agg(F.count(F.lit(1)).alias("n"), half(1).alias("a"), half(16).alias("b"))
+        sums = sums.select(F.col("_path").alias("path"), F.sha2(F.concat_ws("-", "n", "a", "b"), 256).alias("fingerprint"))
+        part = files.join(sums, "path", "left").select(
             F.lit(table).alias("table_name"),
             F.element_at(F.split("path", "/"), -1).alias("source_file"),
             "length",
-            "fingerprint",
+            F.coalesce("fingerprint", F.sha2(F.lit("0"), 256)).alias("fingerprint"),
         )
         out = part if out is None else out.unionByName(part)
     return out
@@ -145,75 +142,96 @@ def read_ledger(spark: SparkSession, root: str) -> DataFrame:
 
 
 def latest_entries(ledger: DataFrame) -> DataFrame:
-    return ledger.groupBy("table_name", "source_file").agg(
-        F.max_by("fingerprint", "ingested_at").alias("fingerprint"),
-        F.max_by("row_count", "ingested_at").alias("row_count"),
-        F.max_by("source_columns", "ingested_at").alias("source_columns"),
-        F.max_by("batch_id", "ingested_at").alias("batch_id"),
+    """The files of each table's latest load; files that were there before and are gone are not among them."""
+    last = ledger.groupBy("table_name").agg(F.max_by("batch_id", "ingested_at").alias("batch_id"))
+    return ledger.join(last, ["table_name", "batch_id"])
+
+
+def history(ledger: DataFrame, n: int | None = None) -> DataFrame:
+    """The batches, newest first; all of them unless ``n`` says how many."""
+    batches = ledger.groupBy("batch_id").agg(
+        F.max("ingested_at").alias("ingested_at"),
+        F.count_distinct("table_name").alias("tables"),
+        F.count(F.lit(1)).alias("files"),
+        F.sum("row_count").alias("row_count"),
     )
+    batches = batches.orderBy(F.desc("ingested_at"))
+    return batches if n is None else batches.limit(n)
 
 
-def history(ledger: DataFrame, n: int = HISTORY) -> DataFrame:
-    """The latest batches, newest first."""
-    return (
-        ledger.groupBy("batch_id")
-        .agg(F.max("ingested_at").alias("ingested_at"), F.count(F.lit(1)).alias("tables"), F.sum("row_count").alias("row_count"))
-        .orderBy(F.desc("ingested_at"))
-        .limit(n)
-    )
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hadoop
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    system, at = _file_system(spark, path)
+    system.delete(at, True)
+
+
+def _rename(spark: SparkSession, source: str, target: str) -> None:
+    system, at = _file_system(spark, source)
+    _, to = _file_system(spark, target)
+    system.mkdirs(to.getParent())
+    if not system.rename(at, to):
+        raise LandingError(f"cannot move {source} to {target}")
 
 
 def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
+    system, at = _file_system(spark, path)
+    return system.exists(at)
 
 
 def ingest_all(spark: SparkSession, sources: dict[str, str], root: str, force: bool = False) -> dict[str, str]:
     """One batch over all registered sources: ``loaded`` or ``skipped`` per table.
 
-    Fails before loading anything if a source is missing; a table whose files have the recorded
-    fingerprints and whose output exists is skipped.
+    Fails before loading anything if a source is missing; a table whose files are those of its
+    last load, by name and fingerprint, and whose output exists is skipped. Each table is entered
+    into the ledger as soon as it is loaded, with the rows of each file.
     """
     missing = [t for t, path in sources.items() if not _exists(spark, path)]
     if missing:
         raise FileNotFoundError(f"sources missing: {missing}")
-    prints = fingerprints(spark, sources)
-    known = latest_entries(read_ledger(spark, root)).select("table_name", "source_file", "fingerprint")
-    changed = {
-        r["table_name"]
-        for r in prints.join(known, ["table_name", "source_file", "fingerprint"], "left_anti")
-        .select("table_name")
-        .distinct()
-        .collect()
-    }
+    prints = stage(fingerprints(spark, sources), "fingerprints")
+    changed = _changed(prints, latest_entries(read_ledger(spark, root)))
     batch_id = new_batch_id()
-    result, loaded = {}, []
+    result = {}
     for table, path in sources.items():
         if not force and table not in changed and _exists(spark, f"{root}/{table}"):
             result[table] = "skipped"
             continue
-        rows = ingest_table(spark, path, table, root, batch_id)
+        ingest_table(spark, path, table, root, batch_id)
         columns = read_text_table(spark, path).columns
-        loaded.append((table, rows, columns))
-        result[table] = "loaded"
-    if loaded:
-        done = spark.createDataFrame(loaded, "table_name string, row_count bigint, source_columns array<string>")
-        entries = prints.join(F.broadcast(done), "table_name").select(
-            "table_name", "source_file", "fingerprint", "length", "row_count", "source_columns",
+        counts = spark.read.parquet(f"{root}/{table}").groupBy(F.col("_source_file").alias("source_file")).agg(F.count(F.lit(1)).alias("row_count"))
+        entries = prints.where(F.col("table_name") == table).join(counts, "source_file", "left").select(
+            "table_name", "source_file", "fingerprint", "length", F.coalesce("row_count", F.lit(0)).cast("bigint").alias("row_count"),
+            F.array(*[F.lit(c) for c in columns]).cast("array<string>").alias("source_columns"),
             F.lit(batch_id).alias("batch_id"), F.current_timestamp().alias("ingested_at"),
         )
         write_parquet(entries.coalesce(1), f"{root}/_ledger", mode="append")
+        result[table] = "loaded"
     return result
 
 
+def _changed(prints: DataFrame, known: DataFrame) -> set[str]:
+    """Tables with a file that is new, other than before or gone: at most one name for each table."""
+    key = ["table_name", "source_file", "fingerprint"]
+    new, gone = prints.join(known, key, "left_anti"), known.join(prints, key, "left_anti")
+    return {r["table_name"] for r in new.select("table_name").union(gone.select("table_name")).distinct().collect()}
+
+
 def check_landing(spark: SparkSession, sources: dict[str, str], root: str) -> DataFrame:
     """One row per table: exists, rows and columns as in the ledger, one batch, stale source."""
     schema = (
         "table_name string, exists boolean, row_count bigint, single_batch boolean, rows_match_log boolean, "
         "columns_match boolean, stale boolean, empty_cells bigint"
     )
-    ledger = {r["table_name"]: r for r in latest_entries(read_ledger(spark, root)).collect()}
-    prints = {(r["table_name"], r["fingerprint"]) for r in fingerprints(spark, {t: s for t, s in sources.items() if _exists(spark, s)}).collect()}
+    known = latest_entries(read_ledger(spark, root))
+    entries = known.groupBy("table_name").agg(F.sum("row_count").alias("row_count"), F.first("source_columns").alias("source_columns"))
+    # One row for each table; the files themselves are compared in Spark.
+    ledger = {r["table_name"]: r for r in entries.collect()}
+    present = {t: s for t, s in sources.items() if _exists(spark, s)}
+    stale = _changed(fingerprints(spark, present), known.where(F.col("table_name").isin(*present))) if present else set()
     rows = []
     for table in sources:
         if not _exists(spark, f"{root}/{table}"):
@@ -232,7 +250,7 @@ def check_landing(spark: SparkSession, sources: dict[str, str], root: str) -> Da
                 got["b"] == 1,
                 bool(entry) and entry["row_count"] == got["n"],
                 bool(entry) and list(df.columns) == [*entry["source_columns"], *LINEAGE],
-                not (entry and (table, entry["fingerprint"]) in prints),
+                not entry or table not in present or table in stale,
                 got["e"],
             )
         )

@@ -62,6 +62,46 @@ def test_unchanged_files_are_skipped(spark, source, tmp_path):
     assert L.history(L.read_ledger(spark, root)).count() == 3
 
 
+def test_swapped_lines_change_the_fingerprint_and_splits_do_not(spark, tmp_path):
+    lines = [f"{i},{'x' * 40}" for i in range(2000)]
+    (tmp_path / "a.csv").write_text("\n".join(["id,text", *lines]))
+    one = L.fingerprints(spark, {"t": str(tmp_path / "a.csv")}).first()["fingerprint"]
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "16384")
+    try:
+        assert L.fingerprints(spark, {"t": str(tmp_path / "a.csv")}).first()["fingerprint"] == one
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    lines[3], lines[9] = lines[9], lines[3]
+    (tmp_path / "a.csv").write_text("\n".join(["id,text", *lines]))
+    assert L.fingerprints(spark, {"t": str(tmp_path / "a.csv")}).first()["fingerprint"] != one
+
+
+def test_several_files_and_a_removed_one(spark, tmp_path):
+    root, folder = str(tmp_path / "bronze"), tmp_path / "parts"
+    folder.mkdir()
+    for name in "ab":
+        (folder / f"{name}.csv").write_text("id\n1\n2\n3\n")
+    sources = {"t": str(folder)}
+    assert L.ingest_all(spark, sources, root) == {"t": "loaded"}
+    batch = L.history(L.read_ledger(spark, root)).first()
+    assert (batch["tables"], batch["files"], batch["row_count"]) == (1, 2, 6)
+    assert not L.check_landing(spark, sources, root).first()["stale"]
+    (folder / "b.csv").unlink()
+    assert L.check_landing(spark, sources, root).first()["stale"]
+    assert L.ingest_all(spark, sources, root) == {"t": "loaded"} and spark.read.parquet(f"{root}/t").count() == 3
+    assert not list((tmp_path / "bronze" / ".incoming").iterdir()) and not list((tmp_path / "bronze" / ".replaced").iterdir())
+
+
+def test_a_refused_table_keeps_the_entries_before_it(spark, source, tmp_path):
+    root = str(tmp_path / "bronze")
+    (source / "bad.csv").write_text("_id\n1\n")
+    sources = {"machines": str(source / "machines.csv"), "bad": str(source / "bad.csv")}
+    with pytest.raises(L.LandingError):
+        L.ingest_all(spark, sources, root)
+    assert [r["table_name"] for r in L.read_ledger(spark, root).collect()] == ["machines"]
+
+
 def test_missing_source_loads_nothing(spark, source, tmp_path):
     root = str(tmp_path / "bronze")
     with pytest.raises(FileNotFoundError, match="errors2"):
