@@ -1,7 +1,7 @@
 """Global order statistics without a global sort task.
 
 ``Window.orderBy`` without a partition moves every row to one task. Here the ordering column
-is cut into at most ``BUCKETS`` ranges of about equal row counts: bucket totals are a bounded
+is cut into ranges of about equal row counts, as many as the session's shuffle partitions ask for: bucket totals are a bounded
 frame that is summed once and broadcast, and the exact order is resolved inside each bucket
 in parallel. The cut points come from an approximate quantile sketch and are then constants,
 so they only decide the balance (outliers and heavy tails included), never the result. Ties
@@ -18,14 +18,16 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import stage
 
+#: Ranges of a small table; a larger one has two for each shuffle partition of the session.
 BUCKETS = 1024
 SKETCH_ERROR = 0.0005
 
 
 def _with_bucket(df: DataFrame) -> DataFrame:
     """Add ``_bucket``, ascending with ``_order_value``; NULLs form the last bucket."""
-    share = [i / BUCKETS for i in range(1, BUCKETS)]
-    cuts = sorted(set(df.where(F.col("_order_value").isNotNull()).approxQuantile("_order_value", share, SKETCH_ERROR)))
+    buckets = max(BUCKETS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    share, error = [i / buckets for i in range(1, buckets)], min(SKETCH_ERROR, 0.5 / buckets)
+    cuts = sorted(set(df.where(F.col("_order_value").isNotNull()).approxQuantile("_order_value", share, error)))
     splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
     if len(splits) == 2:
         splits.insert(1, 0.0)
