@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from fleetspark.functions.staging import stage
 from fleetspark.operators import cleaning
 from fleetspark.plans import checks as C
 from fleetspark.plans import evaluate as E
@@ -309,12 +310,20 @@ def _(spark, sf_dir):
 
 @query(
     "l17_data_unchanged",
-    "SELECT 'data_unchanged' AS check_name, 'fingerprint' AS subject, true AS passed, CAST(count(*) AS DOUBLE) AS expected, CAST(count(*) AS DOUBLE) AS actual FROM dataset_e WHERE split = 'train'",
+    """SELECT 'data_unchanged' AS check_name, 'fingerprint' AS subject, damage = 0 AS passed, CAST(count(*) AS DOUBLE) AS expected,
+    CAST(count(*) AS DOUBLE) AS actual, damage FROM dataset_e, (VALUES (0), (1)) AS d(damage) WHERE split = 'train' GROUP BY damage""",
 )
 def _(spark, sf_dir):
+    """Against the fingerprint stored at training time: as it is, and after one value of one row changed."""
     w = event_world(spark, sf_dir)
     rows = w.ml_dataset.where("split = 'train'")
-    return C.data_unchanged(C.fingerprint(rows), C.fingerprint(rows.repartition(3)))
+    stored = stage(C.fingerprint(rows), "trained_on")
+    last = rows.agg(F.max(F.struct(*w.p.keys)).alias("_last"))
+    hit = F.struct(*w.p.keys) == F.col("_last")
+    total = F.col(w.p.target)
+    damaged = rows.crossJoin(F.broadcast(last)).withColumn(w.p.target, F.when(hit, 1 - total).otherwise(total).cast(rows.schema[w.p.target].dataType))
+    parts = [C.data_unchanged(stored, C.fingerprint(df.select(rows.columns))).withColumn("damage", F.lit(k)) for k, df in enumerate((rows, damaged))]
+    return parts[0].unionByName(parts[1])
 
 
 @query(

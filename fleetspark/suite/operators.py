@@ -262,7 +262,17 @@ def _(spark, sf_dir):
     return round6(X.grid_coverage(w.readings, w.p), ["coverage"])
 
 
-@query("f24_fingerprint")
+_texts = ", ".join(
+    ["CAST(machine_id AS VARCHAR)", "strftime(timestamp, '%Y-%m-%d %H:%M:%S.%f')", "CAST(_source_line AS VARCHAR)"]
+    + [f"CAST(CAST({s} AS DECIMAL(38,9)) AS VARCHAR)" for s in ("volt", "rotate", "pressure", "vibration")]
+)
+
+
+@query(
+    "f24_fingerprint",
+    f"""SELECT count(*) AS row_count, CAST(sum(CAST('0x' || md5(array_to_string(list_transform([{_texts}],
+    lambda x: coalesce(x, '~')), '|'))[:15] AS HUGEINT)) AS VARCHAR) AS hash_sum FROM readings""",
+)
 def _(spark, sf_dir):
     return C.fingerprint(event_world(spark, sf_dir).readings)
 
