@@ -9,7 +9,7 @@ from fleetspark.operators import cleaning
 from fleetspark.plans import features, kpis, labels
 from fleetspark.params import ADDITIVE
 from fleetspark.suite.blocks import COMPS, ERRORS, SENSORS, U, W, P, each, rounded
-from fleetspark.suite.registry import query, r6
+from fleetspark.suite.registry import block, query, r6
 from fleetspark.suite.worlds import event_world, supply_world
 
 
@@ -114,7 +114,7 @@ def _(spark, sf_dir):
     return cleaning.cleaning_metrics(w.readings, w.p)
 
 
-def _linear_sql() -> str:
+def _linear_sql(shown=r6) -> str:
     left = each(
         "last_value(CASE WHEN {x} IS NOT NULL THEN timestamp END IGNORE NULLS) OVER b AS lt_{x}, "
         "last_value({x} IGNORE NULLS) OVER b AS lv_{x}, "
@@ -123,7 +123,7 @@ def _linear_sql() -> str:
     )
     share = "(epoch_us(timestamp) - epoch_us(lt_{x})) / CAST(epoch_us(rt_{x}) - epoch_us(lt_{x}) AS DOUBLE)"
     out = each(
-        r6("coalesce({x}, CASE WHEN rt_{x} > lt_{x} THEN lv_{x} + (rv_{x} - lv_{x}) * " + share + " END)")
+        shown("coalesce({x}, CASE WHEN rt_{x} > lt_{x} THEN lv_{x} + (rv_{x} - lv_{x}) * " + share + " END)")
         + " AS {x}_linear"
     )
     return (
@@ -133,13 +133,19 @@ def _linear_sql() -> str:
     )
 
 
-@query("d8_linear_interpolation", _linear_sql())
-def _(spark, sf_dir):
-    w = event_world(spark, sf_dir)
+block("straight", _linear_sql(str))
+
+
+def straight_lines(w):
+    """The gridded readings, not yet filled, with straight lines over their gaps."""
     first = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
     grid = cleaning.regular_grid(cleaning.null_stuck_runs(first, w.p), w.p)
-    names = [f"{s}_linear" for s in SENSORS]
-    return round6(cleaning.interpolate_linear(grid, w.p).select(*KEYS, *names), names)
+    return cleaning.interpolate_linear(grid, w.p).select(*KEYS, *[f"{s}_linear" for s in SENSORS])
+
+
+@query("d8_linear_interpolation", _linear_sql())
+def _(spark, sf_dir):
+    return round6(straight_lines(event_world(spark, sf_dir)), [f"{s}_linear" for s in SENSORS])
 
 
 FEATURES = features.sensor_feature_names(P)
