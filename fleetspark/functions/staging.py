@@ -8,6 +8,7 @@ executor only repeats the scan. The folder is the one the cluster names in
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
@@ -42,10 +43,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def release(*tables: DataFrame) -> None:
-    """Delete staged tables that nothing reads any more; others are left alone."""
+    """Delete staged tables that nothing reads any more, and shuffle files of finished queries.
+
+    Spark deletes those files when the driver collects garbage, which a large driver seldom does
+    by itself: it is asked to here. A table that was not staged is left alone.
+    """
     for table in tables:
+        context = table.sparkSession.sparkContext
         path = getattr(table, "_staged_at", None)
         if path is not None:
-            context = table.sparkSession.sparkContext
             where = context._jvm.org.apache.hadoop.fs.Path(path)
             where.getFileSystem(context._jsc.hadoopConfiguration()).delete(where, True)
+    if tables:
+        gc.collect()
+        context._jvm.System.gc()
