@@ -288,12 +288,14 @@ def similar_components(
 
     nodes = filled.groupBy(*same).agg(F.min("id").alias("id"), F.first("n_own").alias("n_own"), F.first("boxes").alias("boxes"))
     entries = nodes.select("id", "n_own", F.posexplode("boxes").alias("at", "box"))
-    entries = entries.select("id", "box", (F.col("at") < F.col("n_own")).alias("own")).repartition("box")
+    entries = entries.select("id", "box", (F.col("at") < F.col("n_own")).alias("own"))
     shared = entries.groupBy("box").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("own").alias("own"))
-    shared = shared.where("least < most and own").select("box")
-    entries = stage(entries.join(shared, "box", "left_semi").select("box", "id"), "boxes")
+    # Two queries, so that the shuffle files of the first are gone before the second writes its own.
+    shared = stage(shared.where("least < most and own").select("box"), "shared")
+    release(entries)
+    entries = stage(entries.select("box", "id").join(shared, "box", "left_semi"), "boxes")
     named = stage(signed.select("id", *same), "names")
-    release(signed)
+    release(signed, shared)
 
     points = _Points()
     wanted = entries.select(F.col("id").alias(key)).distinct()
