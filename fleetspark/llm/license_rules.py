@@ -5,14 +5,25 @@ licences, and the sequence of identifiers found is matched against ordered licen
 first rule whose identifiers stand next to each other takes them away, then the next one looks at
 what is left. Identifiers that no rule takes are reported as such.
 
-Sentences end at ``.``, ``!``, ``?`` or ``;`` before white space and at line breaks, but not where
-the next line begins with a small letter (a wrapped line). Sentences of no licence do not come
-between identifiers. Null and empty texts have no sentences. Every row is judged by itself, so
-repeated rows are alike. Added columns replace columns of the same names; all others stay.
+Sentences end at ``.``, ``!``, ``?`` or ``;`` before white space (but not behind "software;" and
+"foundation;", as the GPL has them) and with the paragraph: at lines without letters or digits,
+before list marks, copyright notices and SPDX tags, after copyright notices, after ``:`` at the end
+of a line, and before a line that opens as known sentences do. Other lines are joined, whatever
+they begin with; indentation and comment marks go with all other punctuation. What is not known as
+a whole is looked up line by line. An SPDX expression gives an identifier for each of its licences;
+headings are known where they stand alone. Sentences of no licence do not come between
+identifiers. Null and empty texts have no sentences. Every row is judged by itself, so repeated
+rows are alike. Added columns replace columns of the same names; all others stay.
+
+``duckdb_sql`` is the narrower form that this scan had before: it joins a line to the one before
+only if it begins with a small letter at its first column, and knows neither headings nor SPDX
+tags. Both agree on texts without these.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -97,6 +108,57 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("all rights reserved", ("all-rights",)),
 )
 
+#: What stands alone as a heading, and what SPDX tags name, normalised; each is a rule of its own, tried after the others.
+HEADINGS: tuple[tuple[str, str, str], ...] = (
+    ("apache2-head", r"^apache licen[sc]e version 2 0( january 2004)?( https? www apache org licenses)?$", "Apache-2.0"),
+    ("mit-head", r"^(the )?(mit|expat) licen[sc]e( mit)?$", "MIT"),
+    ("isc-head", r"^(the )?isc licen[sc]e( isc)?$", "ISC"),
+    ("bsd2-head", r"^(the )?(bsd 2 clause( simplified)? licen[sc]e|(2 clause|simplified) bsd licen[sc]e)$", "BSD-2-Clause"),
+    ("bsd3-head", r"^(the )?(bsd 3 clause( new or revised| new| revised)? licen[sc]e|(3 clause|new|modified) bsd licen[sc]e)$", "BSD-3-Clause"),
+    ("gpl3-head", r"^(the )?gnu general public licen[sc]e version 3( 0)?( 29 june 2007)?$", "GPL-3.0"),
+    ("gpl2-head", r"^(the )?gnu general public licen[sc]e version 2( 0)?( june 1991)?$", "GPL-2.0"),
+    ("lgpl3-head", r"^(the )?gnu lesser general public licen[sc]e version 3( 0)?( 29 june 2007)?$", "LGPL-3.0"),
+    ("lgpl21-head", r"^(the )?gnu lesser general public licen[sc]e version 2 1( february 1999)?$", "LGPL-2.1"),
+    ("agpl3-head", r"^(the )?gnu affero general public licen[sc]e version 3( 0)?( 19 november 2007)?$", "AGPL-3.0"),
+    ("mpl2-head", r"^(the )?mozilla public licen[sc]e version 2 0$", "MPL-2.0"),
+    ("unlicense-head", r"^the unlicense$", "Unlicense"),
+)
+SPDX: tuple[str, ...] = (
+    "Apache-2.0", "MIT", "ISC", "BSD-2-Clause", "BSD-3-Clause", "MPL-2.0", "CC0-1.0", "Unlicense",
+    "CC-BY-4.0", "CC-BY-SA-4.0", "CC-BY-ND-4.0", "CC-BY-NC-4.0", "CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0",
+    *(f"{name}{later}" for name in ("GPL-2.0", "GPL-3.0", "LGPL-2.1", "LGPL-3.0", "AGPL-3.0") for later in ("", "-or-later")),
+)
+ALL_RULES = (*RULES, *((name, (k,)) for k, _, name in HEADINGS), *((name, (f"spdx-{name.lower()}",)) for name in SPDX))
+
+#: Texts without these words have no known sentence.
+MAYBE = "(?i)licen[sc]e|permission|redistribut|warrant|copyright|domain|provided|apache|spdx"
+#: Lines that begin a sentence, behind punctuation; copyright notices and SPDX tags.
+_NOTICE = r"(?:(?i:copyright[ \t]*(?:\(c\)|©|[12][0-9]{3}))|(?i:spdx-))"
+_OPENS = (
+    r"(?:[0-9]{1,2}[.)][ \t]|(?<=\()[A-Za-z0-9]{1,2}\)[ \t]|(?<=[\n \t][-+•][ \t]{1,8})[A-Z]"
+    r"|Permission (?:is hereby|to use)|Redistribution and use|Redistributions (?:of|in)|This (?:program|library|software|work|file) is"
+    r"|The above copyright|THE SOFTWARE IS|(?:Licen[sc]ed|Released|Distributed) under)"
+)
+#: Line breaks inside a sentence and ends of sentences; texts have neither character after the first step.
+LINE, END = "\x01", "\x02"
+#: From text to sentences, in order.
+CUTS: tuple[tuple[str, str], ...] = (
+    (r"[\x01\x02]", ","),
+    (r"\r\n", "\n"),
+    (r"(^|\n)[ \t]*[.!?;]+", "$1,"),
+    (r"(GPL-[0-9.]+)\+", "$1-or-later"),
+    (r"(?i)(SPDX-License-Identifier)", f"{END}$1"),
+    (r"\n(?:[^A-Za-z0-9\n\x02]*\n)+", END),
+    (rf"\n(?=[^A-Za-z0-9\n\x02]*{_NOTICE})", END),
+    (rf"((?:^|[\n\x02])[^A-Za-z0-9\n\x02]*{_NOTICE}[^\n\x02]*)\n", f"$1{END}"),
+    (r"\n([a-z])", " $1"),
+    (rf"\n(?=[^A-Za-z0-9\n\x02]*{_OPENS})", END),
+    (r":[^A-Za-z0-9\n\x02]*\n", END),
+    (r"(?i)(software;|foundation;)[\x20\x09-\x0D]+", f"$1{LINE}"),
+    (r"([.!?;])[\x20\x09-\x0D]+", f"$1{END}"),
+    (r"\n", LINE),
+)
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WHITE = r"[\x20\x09-\x0D]"
 
@@ -108,6 +170,44 @@ def _sentence_id(sentence: Column) -> Column:
     return F.when(sentence.rlike(KEYWORDS), out)
 
 
+def _normal(sentence: Column) -> Column:
+    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
+
+
+def _spdx_ids(sentence: Column) -> Column:
+    """Of each licence in the expression of a tag; exceptions (``WITH``) are left out."""
+    named = F.split(F.regexp_replace(sentence, "^spdx license identifier ", ""), " or (?!later)| and ")
+
+    def one(part: Column) -> Column:
+        part = F.regexp_replace(part, "( only)?( with .*)?$", "")
+        out = F.lit("spdx-other")
+        for name in SPDX:
+            out = F.when(part == re.sub("[^a-z0-9]+", " ", name.lower()), f"spdx-{name.lower()}").otherwise(out)
+        return out
+
+    return F.transform(named, one)
+
+
+def _heading_id(sentence: Column) -> Column:
+    out = F.lit(None).cast("string")
+    for name, pattern, _ in reversed(HEADINGS):
+        out = F.when(sentence.rlike(pattern), name).otherwise(out)
+    return out
+
+
+def _ids(raw: Column) -> Column:
+    """Identifiers of a sentence that may go over several lines."""
+    whole = _normal(raw)
+    by_line = F.transform(F.split(raw, LINE), lambda line: _sentence_id(_normal(line)))
+    known = F.coalesce(_sentence_id(whole), _heading_id(whole))
+    return (
+        F.when(~whole.rlike(KEYWORDS), F.array().cast("array<string>"))
+        .when(whole.startswith("spdx license identifier "), _spdx_ids(whole))
+        .when(known.isNotNull(), F.array(known))
+        .otherwise(F.filter(by_line, lambda s: s.isNotNull()))
+    )
+
+
 def _written(names: tuple[str, ...]) -> str:
     return "".join(f"<{n}>" for n in names)
 
@@ -119,16 +219,15 @@ def with_licenses(docs: DataFrame, text: str = "text") -> DataFrame:
     added = ("license_sentences", "licenses", "unmatched")
     kept = [F.col(f"`{c}`") for c in docs.columns if c not in added]
     t = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    t = F.regexp_replace(F.regexp_replace(t, r"\r?\n([a-z])", " $1"), rf"([.!?;]){WHITE}+", "$1\n")
-    clean = F.filter(
-        F.transform(F.split(t, "\n"), lambda s: F.trim(F.regexp_replace(F.translate(s, UPPER, LOWER), "[^a-z0-9]+", " "))),
-        lambda s: s != "",
-    )
-    df = docs.select(*kept, clean.alias("_sentences"))
-    found = F.transform("_sentences", lambda s, i: F.struct(i.alias("at"), _sentence_id(s).alias("id")))
-    df = df.select(*kept, F.filter(found, lambda s: s["id"].isNotNull()).alias("license_sentences"))
+    cut = t
+    for pattern, by in CUTS:
+        cut = F.regexp_replace(cut, pattern, by)
+    sentences = F.filter(F.split(cut, END), lambda s: s.rlike("[A-Za-z0-9]"))
+    df = docs.select(*kept, F.when(t.rlike(MAYBE), sentences).otherwise(F.array().cast("array<string>")).alias("_sentences"))
+    found = F.flatten(F.transform("_sentences", lambda s, i: F.transform(_ids(s), lambda name: F.struct(i.alias("at"), name.alias("id")))))
+    df = df.select(*kept, found.alias("license_sentences"))
     sequence = F.concat_ws("", F.transform("license_sentences", lambda s: F.concat(F.lit("<"), s["id"], F.lit(">"))))
-    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_written(ids)).alias("ids")) for name, ids in RULES])
+    rules = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(_written(ids)).alias("ids")) for name, ids in ALL_RULES])
     matched = F.aggregate(
         rules,
         F.struct(sequence.alias("left"), F.array().cast("array<string>").alias("names")),

@@ -184,3 +184,125 @@ def test_licenses_equal_sql(spark):
     con.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
     assert got == {r[0]: r[1:] for r in con.execute(license_rules.duckdb_sql()).fetchall()}
     assert [got[i][1] for i in range(8)] == ["", "", "[MIT]", "[MIT]", "[Apache-2.0][CC-BY-NC-4.0]", "", "", "[GPL-3.0]"] and got[6][2] == "apache2-see"
+
+
+MIT_TEXT = """\
+MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+BSD3_TEXT = """\
+Copyright (c) 2020, Some One
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+
+THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS"
+AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE
+IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE
+DISCLAIMED.
+"""
+APACHE_TEXT = """\
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL3_TEXT = """\
+This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program.  If not, see <https://www.gnu.org/licenses/>.
+"""
+GPL2_TEXT = """\
+This program is free software; you can redistribute it and/or
+modify it under the terms of the GNU General Public License
+as published by the Free Software Foundation; either version 2
+of the License, or (at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.
+
+You should have received a copy of the GNU General Public License
+along with this program; if not, write to the Free Software
+Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA  02110-1301, USA.
+"""
+
+
+def test_licenses_in_their_usual_wrapping(spark):
+    bsd2 = BSD3_TEXT[: BSD3_TEXT.index("3. ")] + BSD3_TEXT[BSD3_TEXT.index("THIS ") :]
+    starred = BSD3_TEXT.replace("1. ", " * ").replace("2. ", " * ").replace("3. ", " * ").replace("met:\n\n", "met:\n")
+    texts = {"MIT": [MIT_TEXT, MIT_TEXT.replace("One\n\n", "One\n")], "BSD-3-Clause": [BSD3_TEXT, starred], "BSD-2-Clause": [bsd2], "Apache-2.0": [APACHE_TEXT], "GPL-3.0-or-later": [GPL3_TEXT], "GPL-2.0-or-later": [GPL2_TEXT]}
+    marks = ["", "    ", " * ", "# ", "// ", "-- ", ";; ", "! "]
+    cases = [(mark, name, "".join(f"{mark}{line}".rstrip() + end for line in t.splitlines())) for name, ts in texts.items() for t in ts for mark in marks for end in ("\n", "\r\n")]
+    cases = [(m, n, f"/*\n{t} */\nint main() {{}}\n" if m == " * " else t) for m, n, t in cases]
+    rows = spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(cases)], "doc_id long, text string")
+    got = {r["doc_id"]: ([n for n in r["licenses"] if n != "all rights reserved"], r["unmatched"]) for r in license_rules.with_licenses(rows).collect()}
+    assert {i: got[i] for i in got} == {i: ([n], []) for i, (_, n, _) in enumerate(cases)}
+
+
+def test_license_headings_and_tags(spark):
+    texts = {
+        "# SPDX-License-Identifier: MIT\nimport os\n": ["MIT"],
+        "/* SPDX-License-Identifier: GPL-2.0-only WITH Linux-syscall-note */\nint x;": ["GPL-2.0"],
+        "// SPDX-License-Identifier: Apache-2.0 OR LGPL-2.1-or-later": ["Apache-2.0", "LGPL-2.1-or-later"],
+        "SPDX-License-Identifier: (GPL-3.0+ AND BSD-3-Clause)": ["BSD-3-Clause", "GPL-3.0-or-later"],
+        "SPDX-License-Identifier: Foo-1.0": [],
+        "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007": ["GPL-3.0"],
+        "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS": ["Apache-2.0"],
+        "Mozilla Public License Version 2.0\n==================================\n": ["MPL-2.0"],
+        "The MIT License (MIT)\n\nCopyright (c) 2020": ["MIT"],
+        "We looked at the\nMIT License\nand others": [],
+        "A title without a full stop\nReleased under the MIT License.\nMore": ["MIT"],
+    }
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in license_rules.with_licenses(rows).collect()}
+    assert {i: got[i]["licenses"] for i in got} == dict(enumerate(texts.values()))
+    assert got[4]["unmatched"] == ["spdx-other"]
