@@ -3,12 +3,15 @@
 Confirmed toxic texts are the positives; every other text, whatever its label says, is unlabelled.
 Features are words and their leading bytes, as 64-bit hashes, that are more frequent among the
 positives by ``Settings.least_z`` standard errors (of the square roots of the counts) and make a
-text toxic with a chance of ``Settings.least_purity`` or more by the two rates. A linear numpy classifier over them is trained by the risk
+text toxic with a chance of ``Settings.least_purity`` or more by the two rates. A linear numpy
+classifier over them is trained by the risk
 
-    prior * loss+(positives) + max(0, loss-(unlabelled) - prior * loss-(positives))
+    share * loss+(positives) + max(0, (1 - seen) * loss-(unlabelled) - (share - seen) * loss-(positives))
 
 whose second part is the corrected risk of the unseen negatives: where training drives it below
-zero, the step goes back up instead. ``prior`` is the share of toxic texts among the unlabelled.
+zero, the step goes back up instead. ``share`` is the share of toxic texts and ``seen`` that of
+confirmed ones among all. Chance and risk are those of all texts, confirmed ones included: where
+every text is labelled, ``share`` equals ``seen`` and this is plain learning from two classes.
 
 Training takes at most ``Settings.positives`` and ``Settings.unlabelled`` texts, those of the
 least hash of their id. Their features are counted by Spark; the driver gets the kept features and
@@ -104,8 +107,11 @@ def kept_features(column: pa.Array, names: np.ndarray, leads: tuple[int, ...]) -
     return keys // len(names), keys % len(names)
 
 
-def fit(names: np.ndarray, rows: list[np.ndarray], positive: np.ndarray, prior: float, settings: Settings) -> Model:
-    """Train on texts given by the places of their features in ``names``; ``positive`` marks the confirmed."""
+def fit(names: np.ndarray, rows: list[np.ndarray], positive: np.ndarray, prior: float, settings: Settings, seen: float = 0.0) -> Model:
+    """Train on texts given by the places of their features in ``names``; ``positive`` marks the confirmed.
+
+    ``prior`` is the share of toxic texts among all, ``seen`` that of confirmed ones.
+    """
     s, n = settings, len(names)
     if not positive.any() or positive.all():
         return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0, s.leads)
@@ -119,8 +125,8 @@ def fit(names: np.ndarray, rows: list[np.ndarray], positive: np.ndarray, prior:
         y, as_negative_loss = _sigmoid(z), np.logaddexp(0, z) * share
         # Slopes of the risk of the positives and of the corrected risk of the negatives.
         as_positive = np.where(positive, prior * (y - 1), 0) * share
-        as_negative = np.where(positive, -prior * y, y) * share
-        risk = as_negative_loss[~positive].sum() - prior * as_negative_loss[positive].sum()
+        as_negative = np.where(positive, (seen - prior) * y, (1 - seen) * y) * share
+        risk = (1 - seen) * as_negative_loss[~positive].sum() - (prior - seen) * as_negative_loss[positive].sum()
         slope = as_positive + as_negative if risk >= 0 else -as_negative
         gradient = np.bincount(column, slope[text], n + 1)
         gradient[n] = slope.sum()
@@ -147,7 +153,9 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     if not n_confirmed or n_confirmed == n_all:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0, s.leads)
     share = n_toxic / max(n_labelled, n_toxic)
-    prior = min(max((share * n_all - n_confirmed) / (n_all - n_confirmed), 1e-3), 0.5)
+    hidden = min(max((share * n_all - n_confirmed) / (n_all - n_confirmed), 0.0), 0.5)
+    seen = n_confirmed / n_all
+    prior = max(seen + (1 - seen) * hidden, 1e-3)
 
     chosen = counted.where("_p = 1").orderBy(first, "id").limit(s.positives).unionByName(
         counted.where("_p is null").orderBy(first, "id").limit(s.unlabelled)
@@ -174,7 +182,8 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     )
     others = F.col("both") - F.col("p")
     z = 2 * (F.sqrt("p") - F.sqrt(n_p * (others + 1) / n_u))
-    purity = prior * (F.col("p") / n_p) * n_u / (others + 0.5)
+    rate_p = F.col("p") / n_p
+    purity = prior * rate_p / (seen * rate_p + (1 - seen) * (others + 0.5) / n_u)
     kept = counts.where((z >= s.least_z) & (purity >= s.least_purity)).select("feature").toPandas()
     names = np.sort(kept["feature"].to_numpy(np.int64).view(np.uint64))
 
@@ -191,7 +200,7 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     sample = map_batches(texts, find_features, f"id {id_type}, positive boolean, places array<long>").toPandas()
     sample = sample.sort_values("id", kind="stable")
     rows = [np.asarray(r, np.int64) for r in sample["places"]]
-    return fit(names, rows, sample["positive"].to_numpy(bool), prior, s)
+    return fit(names, rows, sample["positive"].to_numpy(bool), prior, s, seen)
 
 
 def with_scores(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:

@@ -76,6 +76,24 @@ def test_toxicity_learns_and_keeps_its_folds(spark):
     assert toxicity.train(own.limit(0), shown.select("id"), shown.select("id")).features.size == 0
 
 
+def test_toxicity_where_every_document_is_labelled(spark):
+    rng = random.Random(5)
+    vocabulary = [f"word{k}" for k in range(300)]
+    rows = []
+    for i in range(2000):
+        words = rng.choices(vocabulary, k=rng.randint(5, 60))
+        if i % 8 == 0:
+            words[rng.randrange(len(words))] = rng.choice(["vile", "nasty", "rotten", "foul", "gross", "awful", "horrid", "wicked", "mean", "cruel"])
+        rows.append((i, " ".join(words), i % 8 == 0))
+    df = spark.createDataFrame(rows, "id long, text string, toxic boolean")
+    own = df.where("id < 1600")
+    model = toxicity.train(own.select("id", "text"), own.where("toxic").select("id"), own.select("id"))
+    got = {r["id"]: r["score"] for r in toxicity.with_scores(df.where("id >= 1600"), model).collect()}
+    found = [got[i] >= 0.5 for i, _, t in rows if i >= 1600 and t]
+    wrong = [got[i] >= 0.5 for i, _, t in rows if i >= 1600 and not t]
+    assert np.mean(found) >= 0.95 and np.mean(wrong) <= 0.02
+
+
 def test_features_are_found_again():
     column = pa.array(["Vile word", None, "", "vile vile", "wordy"])
     lists = toxicity.all_features(column, (4,))
