@@ -12,9 +12,14 @@ searched in every tile of its shard. A link found in several shards counts in th
 both ends have. What leaves a task is a number for each node and at most one edge for each node of
 the links' components, never the pairs.
 
-The links of a sample of nodes are counted against all nodes as well; while less than
-``Settings.recall`` of them were found, everything is done again with one more centroid for each
-node, up to ``Settings.most_overlap``.
+The links of a sample of nodes are counted against all nodes as well; the sample grows until
+``Settings.audited`` of its nodes have links, all nodes or ``AUDIT_MOST`` are in it. Recall is the mean share
+of a node's links that was found, over all sampled nodes with links and, if that is less, over
+groups (nodes weighted by one over their links), so that hot groups do not hide small ones. While
+it is below ``Settings.recall``, everything is done again with more centroids for each node: one
+more up to ``Settings.most_overlap``, then twice as many. When that would cost more than comparing
+all nodes of a label in blocks, these are compared. A sample without links tells nothing: then
+overlap goes up to ``Settings.most_overlap``, with a warning.
 
 Vectors that are null, zero, or hold null or non-finite components, and such with a null label,
 link with nothing; vectors of different length have no cosine and do not link. Rows with a null id
@@ -24,9 +29,11 @@ table gives an empty result. Only the three named columns are read.
 
 from __future__ import annotations
 
+import warnings
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,6 +43,8 @@ from fleetspark.llm.components import merge
 from fleetspark.llm.shipping import map_batches, ship
 
 TILE = 1024
+#: Most nodes of the audit, and most of their components; cosines of a block.
+AUDIT_MOST, AUDIT_CELLS = 16_384, 1 << 22
 
 
 @dataclass(frozen=True)
@@ -203,12 +212,21 @@ def near_duplicates(
     sample = np.array([v for v in sample if len(v) == length], np.float64)
     centroids = fit_centroids(sample, min(k, len(sample))) if len(sample) else np.zeros((1, max(1, length)))
 
+    true = _true_links(nodes, n_nodes, threshold, s)
     overlap = min(s.overlap, len(centroids))
     while True:
         counts, edges = _links(nodes, centroids, overlap, threshold, s)
-        if overlap >= min(s.most_overlap, len(centroids)) or _recall(nodes, counts, threshold, s) >= s.recall:
+        if len(true) and _recall(true, counts) >= s.recall:
+            break
+        if not len(true) and (overlap >= min(s.most_overlap, len(centroids)) or n_nodes <= AUDIT_MOST):
+            if n_nodes > AUDIT_MOST:
+                warnings.warn("no audited vector has a link: recall is not known", stacklevel=2)
+            break
+        overlap += 1 if overlap < s.most_overlap else overlap
+        # Shards of so much overlap have more pairs of tiles than the whole label.
+        if len(true) and overlap**2 > len(centroids):
+            counts, edges = _links(nodes, np.zeros((1, centroids.shape[1])), 1, threshold, s, exact=True)
             break
-        overlap += 1
 
     labels = merge(nodes.select("id", F.col("id").alias("label")), edges)
     least = labels.join(nodes.select("id", "node"), "id").groupBy("label").agg(F.min("node").alias("component"))
@@ -221,8 +239,11 @@ def near_duplicates(
     return out.select("id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "id").alias("component_id"))
 
 
-def _links(nodes: DataFrame, centroids: np.ndarray, overlap: int, threshold: float, s: Settings) -> tuple[DataFrame, DataFrame]:
-    """Links of each node (id, n), counting copies, and edges (a, b) that connect what is linked."""
+def _links(nodes: DataFrame, centroids: np.ndarray, overlap: int, threshold: float, s: Settings, exact: bool = False) -> tuple[DataFrame, DataFrame]:
+    """Links of each node (id, n), counting copies, and edges (a, b) that connect what is linked.
+
+    ``exact`` compares all nodes of each pair of tiles instead of searching graphs.
+    """
     ship(nodes.sparkSession)
 
     def assign(batches):
@@ -255,15 +276,7 @@ def _links(nodes: DataFrame, centroids: np.ndarray, overlap: int, threshold: flo
     # Each node has at most ``overlap`` lists of ``degree`` and a few more.
     adjacency = built.groupBy("id").agg(F.collect_set("to").alias("near"))
 
-    def look(table: pa.Table) -> pa.Table:
-        tile = table["tile"].to_numpy()
-        i, j = table["i"][0].as_py(), table["j"][0].as_py()
-        left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
-        none = pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
-        if not len(left) or not len(right):
-            return none
-        ids, copies, x = table["id"].to_numpy(), table["copies"].to_numpy(), _matrix(table["x"])
-        shards, shard = _matrix(table["shards"]), table["shard"][0].as_py()
+    def walk(table: pa.Table, ids: np.ndarray, x: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         near = table["near"].combine_chunks().take(pa.array(right))
         owner = np.repeat(np.arange(len(right)), np.diff(near.offsets.to_numpy()))
         order = np.argsort(ids[right])
@@ -280,6 +293,18 @@ def _links(nodes: DataFrame, centroids: np.ndarray, overlap: int, threshold: flo
         hits = np.zeros((len(left), len(right)), bool)
         for q in range(0, len(left), 256):
             hits[q : q + 256] = search(points, edges, start, x[left[q : q + 256]], threshold, s.beam)
+        return hits
+
+    def look(table: pa.Table) -> pa.Table:
+        tile = table["tile"].to_numpy()
+        i, j = table["i"][0].as_py(), table["j"][0].as_py()
+        left, right = np.flatnonzero(tile == i), np.flatnonzero(tile == j)
+        none = pa.table({"id": pa.array([], pa.int64()), "n": pa.array([], pa.int64()), "to": pa.array([], pa.int64())})
+        if not len(left) or not len(right):
+            return none
+        ids, copies, x = table["id"].to_numpy(), table["copies"].to_numpy(), _matrix(table["x"])
+        shards, shard = _matrix(table["shards"]), table["shard"][0].as_py()
+        hits = x[left] @ x[right].T >= threshold if exact else walk(table, ids, x, left, right)
         if i == j:
             hits |= hits.T
             np.fill_diagonal(hits, False)
@@ -302,32 +327,50 @@ def _links(nodes: DataFrame, centroids: np.ndarray, overlap: int, threshold: flo
         some = np.flatnonzero((n > 0) | (root != np.arange(len(ids))))
         return pa.table({"id": ids[some], "n": n[some].astype(np.int64), "to": ids[root[some]]})
 
-    tiled = members.join(adjacency, "id").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    near = members.withColumn("near", F.array().cast("array<bigint>")) if exact else members.join(adjacency, "id")
+    tiled = near.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
     tiled = tiled.select("label", "shard", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "copies", "x", "shards", "near")
     found = stage(tiled.groupBy("label", "shard", "i", "j").applyInArrow(look, "id long, n long, to long"), "found")
     return found.groupBy("id").agg(F.sum("n").alias("n")), found.where("id != to").select(F.col("id").alias("a"), F.col("to").alias("b")).distinct()
 
 
-def _recall(nodes: DataFrame, counts: DataFrame, threshold: float, s: Settings) -> float:
-    """Share of the links of the audited nodes, those of the least hash, that were found; all nodes are met in blocks."""
-    audited = nodes.orderBy(F.xxhash64("id")).limit(s.audited).select("id", "label", "x").toPandas()
-    if not len(audited):
-        return 1.0
-    groups = {name: (g["id"].to_numpy(np.int64), np.array(g["x"].tolist(), np.float64)) for name, g in audited.groupby("label")}
-
-    def compare(batches):
-        for batch in batches:
-            label, ids, copies = np.array(batch.column("label").to_pylist()), batch.column("id").to_numpy(), batch.column("copies").to_numpy()
-            who, n = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-            for name, (own, x) in groups.items():
-                rows = np.flatnonzero(label == name)
-                for at in range(0, len(rows), 4096):
-                    part = rows[at : at + 4096]
-                    near = (_matrix(batch.column("x").take(pa.array(part))) @ x.T >= threshold) & (ids[part][:, None] != own[None, :])
-                    who.append(own)
-                    n.append((near * copies[part][:, None]).sum(axis=0))
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(who)), pa.array(np.concatenate(n))], ["id", "n"])
-
-    true = map_batches(nodes.select("id", "label", "copies", "x"), compare, "id long, n long").groupBy("id").agg(F.sum("n").alias("true"))
-    got = true.join(counts, "id", "left").agg(F.sum("true"), F.sum(F.least("true", F.coalesce("n", F.lit(0))))).first()
-    return got[1] / got[0] if got[0] else 1.0
+def _true_links(nodes: DataFrame, n_nodes: int, threshold: float, s: Settings) -> pd.DataFrame:
+    """(id, true) of audited nodes that have links, those of the least hash; all nodes are met in blocks."""
+    # The audit's own vectors are on the driver and in each task.
+    length = nodes.agg(F.max(F.size("x"))).first()[0] or 1
+    most = max(s.audited, min(AUDIT_MOST, AUDIT_CELLS // length))
+    size = min(8 * s.audited, most)
+    while True:
+        audited = nodes.orderBy(F.xxhash64("id")).limit(size).select("id", "label", "x").toPandas()
+        groups = {name: (g["id"].to_numpy(np.int64), np.array(g["x"].tolist(), np.float64)) for name, g in audited.groupby("label")}
+
+        def compare(batches, groups=groups):
+            totals = {name: np.zeros(len(own), np.int64) for name, (own, _) in groups.items()}
+            for batch in batches:
+                label, ids, copies = np.array(batch.column("label").to_pylist()), batch.column("id").to_numpy(), batch.column("copies").to_numpy()
+                for name in set(label) & groups.keys():
+                    own, x = groups[name]
+                    rows, step = np.flatnonzero(label == name), max(1, AUDIT_CELLS // len(own))
+                    for at in range(0, len(rows), step):
+                        part = rows[at : at + step]
+                        near = (_matrix(batch.column("x").take(pa.array(part))) @ x.T >= threshold) & (ids[part][:, None] != own[None, :])
+                        totals[name] += copies[part] @ near
+            for name, n in totals.items():
+                some = n > 0
+                yield pa.RecordBatch.from_arrays([pa.array(groups[name][0][some]), pa.array(n[some])], ["id", "true"])
+
+        found = map_batches(nodes.select("id", "label", "copies", "x"), compare, "id long, true long")
+        true = found.groupBy("id").agg(F.sum("true").alias("true")).toPandas()
+        if len(true) >= s.audited or size >= min(n_nodes, most):
+            return true
+        size = min(2 * size, most)
+
+
+def _recall(true: pd.DataFrame, counts: DataFrame) -> float:
+    """Mean share of the links of the audited nodes that were found: over nodes, or over groups if that is less."""
+    audited = counts.sparkSession.createDataFrame(pa.Table.from_pandas(true[["id"]], preserve_index=False))
+    got = counts.join(F.broadcast(audited), "id").toPandas().set_index("id")["n"]
+    n = got.reindex(true["id"]).fillna(0).to_numpy(np.float64)
+    links = true["true"].to_numpy(np.float64)
+    share = np.minimum(n, links) / links
+    return float(min(share.mean(), np.average(share, weights=1 / links)))

@@ -26,6 +26,36 @@ def test_links_equal_brute_force(spark):
     assert all(got[i] == (0, i) for i in (900, 901, 902, 903, 904, 905)) and None not in got
 
 
+def _pairs_beside_a_hot_group():
+    """A third near copies of one vector, pairs of cosine 0.93 to 0.97, and single vectors; whose links are found."""
+    rng = np.random.default_rng(11)
+    unit = lambda v: v / np.linalg.norm(v, axis=-1, keepdims=True)
+    hot = unit(unit(rng.normal(size=64)) + rng.normal(scale=0.01, size=(500, 64)))
+    one = unit(rng.normal(size=(250, 64)))
+    side = rng.normal(size=one.shape)
+    side = unit(side - (side * one).sum(axis=1, keepdims=True) * one)
+    cosine = rng.uniform(0.935, 0.97, (250, 1))
+    x = np.concatenate((hot, one, cosine * one + np.sqrt(1 - cosine**2) * side, unit(rng.normal(size=(500, 64)))))
+    return x, x @ x.T >= 0.93
+
+
+def test_a_hot_group_does_not_hide_lost_pairs(spark):
+    x, linked = _pairs_beside_a_hot_group()
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    got = {r["id"]: r["n_links"] for r in near_duplicates(df, 0.93, settings=Settings(shard=10)).collect()}
+    n, true = np.array([got[i] for i in range(len(x))]), linked.sum(axis=1) - 1
+    assert (n <= true).all() and n[:500].sum() >= 0.95 * true[:500].sum()
+    assert n[500:1000].sum() >= 0.95 * true[500:1000].sum()
+
+
+def test_a_missed_recall_is_made_up_by_blocks(spark):
+    x, linked = _pairs_beside_a_hot_group()
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)], "vec_id long, embedding array<double>, label int")
+    settings = Settings(shard=60, overlap=1, most_overlap=1, recall=1.0)
+    got = {r["id"]: r["n_links"] for r in near_duplicates(df, 0.93, settings=settings).collect()}
+    assert [got[i] for i in range(len(x))] == (linked.sum(axis=1) - 1).tolist()
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "vec_id long, embedding array<float>, label int"), 0.9).count() == 0
 
