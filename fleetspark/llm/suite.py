@@ -3,6 +3,7 @@
 import corpus_pipeline
 from fleetspark.llm.queries import (  # noqa: F401
     bpe,
+    conversations,
     counts,
     html,
     licenses,
