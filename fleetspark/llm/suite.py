@@ -10,6 +10,7 @@ from fleetspark.llm.queries import (  # noqa: F401
     mixture,
     quality,
     shingles,
+    token_ids,
     toxic,
     urls,
     vectors,
