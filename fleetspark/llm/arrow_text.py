@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes of text that are hashed at a time; a word longer than this is still taken whole.
 WINDOW = 1 << 20
+#: Bytes of text in a slice of a batch.
+SLICE = 4 << 20
 
 _IS_WORD = np.ones(256, bool)
 _IS_WORD[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
@@ -93,3 +96,15 @@ def word_hashes(
         return (empty if leads else empty[0]), np.zeros(len(offsets), np.int64)
     joined = np.concatenate([np.stack(h) for h in hashes], axis=1)
     return (joined if leads else joined[0]), np.searchsorted(np.concatenate(starts_all), offsets, "left")
+
+
+def slices(column: pa.Array, most: int = SLICE) -> list[tuple[int, int]]:
+    """Ranges of rows of about ``most`` bytes of text, one row at least."""
+    sizes = pc.binary_length(column).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends = np.cumsum(sizes)
+    cuts, at = [0], 0
+    while at < len(sizes):
+        limit = (ends[at - 1] if at else 0) + most
+        at = max(at + 1, int(np.searchsorted(ends, limit, "right")))
+        cuts.append(at)
+    return list(zip(cuts, cuts[1:], strict=False))

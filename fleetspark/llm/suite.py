@@ -9,6 +9,7 @@ from fleetspark.llm.queries import (  # noqa: F401
     licenses,
     mixture,
     quality,
+    runs,
     shingles,
     token_ids,
     toxic,

@@ -31,8 +31,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from fleetspark.llm.arrow_text import slices
 from fleetspark.llm.shipping import map_batches
-from fleetspark.llm.word_encoder import slices, word_encoder
+from fleetspark.llm.word_encoder import word_encoder
 
 #: Documents that one task reads of a file at a time, and ids digested at a time.
 BLOCK = 1 << 13

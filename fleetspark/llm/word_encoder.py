@@ -16,10 +16,9 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces remembered at most, pieces in one call of the library, and bytes of text worked on at a time.
+#: Pieces remembered at most and pieces in one call of the library.
 REMEMBERED = 1 << 20
 TOGETHER = 1000
-BYTES = 4 << 20
 
 
 def ragged_take(starts: np.ndarray, lengths: np.ndarray, which: np.ndarray) -> np.ndarray:
@@ -125,15 +124,3 @@ def _put(held: np.ndarray, at: int, new: np.ndarray) -> np.ndarray:
 @lru_cache(maxsize=2)
 def word_encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
-
-
-def slices(column: pa.Array, most: int = BYTES) -> list[tuple[int, int]]:
-    """Ranges of rows of about ``most`` bytes of text, one row at least."""
-    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    ends = np.cumsum(sizes)
-    cuts, at = [0], 0
-    while at < len(sizes):
-        limit = (ends[at - 1] if at else 0) + most
-        at = max(at + 1, int(np.searchsorted(ends, limit, "right")))
-        cuts.append(at)
-    return list(zip(cuts, cuts[1:], strict=False))
