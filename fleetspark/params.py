@@ -111,7 +111,8 @@ class FleetParams:
     train_end: datetime = datetime(2015, 10, 1)
     validation_start: datetime = datetime(2015, 8, 1)
     seed: int = 42
-    boosting_rounds: int = 20  # of every boosted model
+    boosting_rounds: int = 300  # of every boosted model
+    boosting_rows: int = 250_000  # that one boosted model learns from, about, at most
     thresholds: int = 200  # most candidate thresholds, besides "never alert"
     false_alarm_cost: float = 20_000.0
     exclude_features: tuple[str, ...] = ("plant_id", "line_id")

@@ -13,6 +13,7 @@ from fleetspark.plans import checks as C
 from fleetspark.plans import evaluate as E
 from fleetspark.plans import models as M
 from fleetspark.plans import scoring
+from fleetspark.plans.boosting import Forest
 from fleetspark.plans.labels import feature_columns
 from fleetspark.suite.blocks import COMPS, ERRORS, RISK, U, W, P, each
 from fleetspark.suite.judging import METRIC_FLOATS, _flagged, baselines
@@ -39,9 +40,8 @@ class Trained:
         return M.train_failure_model(self.parts, self.features, self.w.costs, self.p)
 
     @cached_property
-    def components(self) -> dict:
-        rows = self.parts.where("part = 'development'")
-        return M.train_component_models(rows, self.features, self.p)
+    def components(self) -> Forest:
+        return M.train_component_models(self.parts, self.features, self.p)
 
     @cached_property
     def profile(self) -> DataFrame:
@@ -49,7 +49,7 @@ class Trained:
 
     @cached_property
     def risks(self) -> DataFrame:
-        rows = M.component_risks(self.parts.where("part = 'test'"), self.components, self.features, self.p)
+        rows = M.component_risks(self.parts.where("part = 'test'"), self.components, self.p)
         return stage(rows, "component_risks")
 
 
@@ -72,7 +72,7 @@ def _(spark, sf_dir):
 @query("m10_shuffled_label_check")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
-    return M.shuffled_label_check(t.parts, t.features, t.p, t.failure.params)
+    return M.shuffled_label_check(t.parts, t.features, t.p, t.failure.setting)
 
 
 @query("m11_component_diagnosis")
@@ -200,7 +200,7 @@ def _(spark, sf_dir):
 @query("m15_model_reasons")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
-    score = M.scorer(t.failure.model, t.features)
+    score = t.failure.score
     alerts = score(t.parts.where("part = 'test'")).where(F.col("score") >= t.failure.threshold)
     return M.explain_rows(alerts, t.features, score, t.profile, t.p)
 
@@ -208,7 +208,7 @@ def _(spark, sf_dir):
 @query("m16_group_importance")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
-    score = M.scorer(t.failure.model, t.features)
+    score = t.failure.score
     return M.group_importance(t.parts.where("part = 'test'"), t.features, score, t.p)
 
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from fleetspark.params import HOUR_US
 from fleetspark.plans import evaluate as E
 from fleetspark.plans import models as M
+from fleetspark.plans.boosting import scores_by_join
+from fleetspark.plans.trees import Setting
 
 DAY_US = 24 * HOUR_US
 
@@ -122,8 +124,11 @@ def test_small_model_learns(spark, frames, p):
     data = [(m, frames.at(h), float(rng.random()), "model1") for m in range(1, 6) for h in range(0, 120, 3)]
     df = spark.createDataFrame(data, "machine_id bigint, timestamp timestamp_ntz, x double, model string")
     df = df.withColumn(p.target, (F.col("x") > 0.7).cast("tinyint"))
-    model = M.fit(df, ["x", "model"], p.target, 1, maxIter=3, maxDepth=2)
-    assert E.ranking(M.scorer(model, ["x", "model"])(df), p.target).first()["pr_auc"] > 0.95
+    model = M.fit(df, ["x", "model"], p.target, p, Setting(rounds=3, depth=2))
+    scored = M.scorer(model)(df)
+    assert E.ranking(scored, p.target).first()["pr_auc"] > 0.95
+    joined = {(r["machine_id"], r["timestamp"]): r["score"] for r in scores_by_join(df, model, M.MODEL, p.keys).collect()}
+    assert joined == {(r["machine_id"], r["timestamp"]): r["score"] for r in scored.collect()}
 
 
 @pytest.mark.parametrize("n", [1, 100, 200, 201, 1000])
