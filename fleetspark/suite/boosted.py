@@ -31,10 +31,10 @@ class Judged:
     setting: Setting
 
 
-def boosted_blocks(name: str, learn: str, other: str, models: dict[str, Judged], chosen: str = "true") -> None:
+def boosted_blocks(name: str, learn: str, other: str, models: dict[str, Judged], chosen: str = "true", source: str = "parts_e") -> None:
     """Block ``scores_<name>``: (m, machine_id, timestamp, score) of the rows of part ``other``, learned from ``learn``.
 
-    ``m`` is the place of a model in ``models``; only models with ``chosen`` (a condition on ``m``) are trained.
+    ``m`` is the place of a model in ``models``; only models with ``chosen`` (a condition on ``m``) are trained. ``source`` has the columns of ``parts_e`` and the labels.
     """
     one = next(iter(models.values())).setting
     deepest = max(j.setting.depth for j in models.values())
@@ -43,7 +43,7 @@ def boosted_blocks(name: str, learn: str, other: str, models: dict[str, Judged],
     inputs = ", ".join(f"CAST({code if f == 'model' else f} AS DOUBLE)" for f in FEATURES)
     block(
         f"rows_{name}",
-        f"SELECT row_number() OVER () AS r, part = '{learn}' AS learn, * FROM parts_e WHERE part IN ('{learn}', '{other}')",
+        f"SELECT row_number() OVER () AS r, part = '{learn}' AS learn, * FROM {source} WHERE part IN ('{learn}', '{other}')",
     )
     block(
         f"cells_{name}",

@@ -173,43 +173,45 @@ def _(spark, sf_dir):
 
 # ---------------------------------------------------------------- thresholds on validation
 
-block(
-    "val_e",
-    f"SELECT {ROW}, anomaly_score AS score FROM parts_e JOIN anomaly_e USING (machine_id, timestamp) WHERE part = 'validation'",
-)
-block(
-    "candidates_e",
-    f"""SELECT score AS threshold FROM (SELECT score, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS size
-  FROM (SELECT DISTINCT score FROM val_e WHERE score IS NOT NULL))
+def curve_blocks(name: str, source: str) -> None:
+    """Candidate thresholds and net savings (``curve_<name>``) of validation rows with a score."""
+    block(f"val_{name}", source)
+    block(
+        f"candidates_{name}",
+        f"""SELECT score AS threshold FROM (SELECT score, row_number() OVER (ORDER BY score) AS place, count(*) OVER () AS size
+  FROM (SELECT DISTINCT score FROM val_{name} WHERE score IS NOT NULL))
 WHERE place IN (SELECT (size * m + 999999) // 1000000 FROM (SELECT unnest({E.candidate_shares(P.thresholds)}) AS m))
-UNION ALL SELECT max(score) + 1.0 FROM val_e""",
-)
-block("curve_rows_e", "SELECT v.*, t.threshold FROM val_e AS v JOIN candidates_e AS t ON v.score >= t.threshold")
-block(
-    "opened_curve",
-    f"""SELECT threshold, machine_id, min(timestamp) AS timestamp FROM curve_rows_e GROUP BY threshold, machine_id
+UNION ALL SELECT max(score) + 1.0 FROM val_{name}""",
+    )
+    block(f"curve_rows_{name}", f"SELECT v.*, t.threshold FROM val_{name} AS v JOIN candidates_{name} AS t ON v.score >= t.threshold")
+    block(
+        f"opened_curve_{name}",
+        f"""SELECT threshold, machine_id, min(timestamp) AS timestamp FROM curve_rows_{name} GROUP BY threshold, machine_id
 UNION ALL
-SELECT r.threshold, r.machine_id, min(a.timestamp) FROM opened_curve AS r JOIN curve_rows_e AS a
+SELECT r.threshold, r.machine_id, min(a.timestamp) FROM opened_curve_{name} AS r JOIN curve_rows_{name} AS a
   ON a.threshold = r.threshold AND a.machine_id = r.machine_id AND a.timestamp >= r.timestamp + {COOLDOWN}
 GROUP BY r.threshold, r.machine_id, r.timestamp""",
-    recursive=True,
-)
-block(
-    "val_events_e",
-    f"""SELECT machine_id, next_failure_at, max(score) AS best_score, (SELECT sum(c.saving_if_prevented) FROM costs AS c
+        recursive=True,
+    )
+    block(
+        f"val_events_{name}",
+        f"""SELECT machine_id, next_failure_at, max(score) AS best_score, (SELECT sum(c.saving_if_prevented) FROM costs AS c
    WHERE list_contains(string_split(min(v.failed_component), '+'), c.component)) AS saving
-FROM val_e AS v WHERE {P.target} = 1 GROUP BY machine_id, next_failure_at""",
-)
-block(
-    "curve_e",
-    f"""SELECT t.threshold, coalesce(c.n, 0) AS events_caught, coalesce(f.n, 0) AS false_alarms,
+FROM val_{name} AS v WHERE {P.target} = 1 GROUP BY machine_id, next_failure_at""",
+    )
+    block(
+        f"curve_{name}",
+        f"""SELECT t.threshold, coalesce(c.n, 0) AS events_caught, coalesce(f.n, 0) AS false_alarms,
   coalesce(c.saved, 0) - coalesce(f.n, 0) * {P.false_alarm_cost}::DOUBLE AS net_saving
-FROM candidates_e AS t
-LEFT JOIN (SELECT t2.threshold, count(*) AS n, sum(saving) AS saved FROM candidates_e AS t2 JOIN val_events_e AS e
+FROM candidates_{name} AS t
+LEFT JOIN (SELECT t2.threshold, count(*) AS n, sum(saving) AS saved FROM candidates_{name} AS t2 JOIN val_events_{name} AS e
            ON e.best_score >= t2.threshold GROUP BY 1) AS c USING (threshold)
-LEFT JOIN (SELECT threshold, count(*) AS n FROM opened_curve JOIN val_e USING (machine_id, timestamp)
+LEFT JOIN (SELECT threshold, count(*) AS n FROM opened_curve_{name} JOIN val_{name} USING (machine_id, timestamp)
            WHERE {P.target} = 0 GROUP BY 1) AS f USING (threshold)""",
-)
+    )
+
+
+curve_blocks("e", f"SELECT {ROW}, anomaly_score AS score FROM parts_e JOIN anomaly_e USING (machine_id, timestamp) WHERE part = 'validation'")
 
 
 def _validation(w) -> DataFrame:
@@ -339,8 +341,8 @@ _near = "hours_to_failure > 0 AND hours_to_failure <= 48"
 ANOMALY_FLOATS = ["flag_rate_normal", "flag_rate_48h", "event_recall_48h", "pr_auc", "lift_48h"]
 
 
-@query(
-    "m13_evaluate_anomalies",
+block(
+    "anomaly_metrics_e",
     f"""SELECT row_count, flags, failure_events, {', '.join(r6(c) + f' AS {c}' for c in ANOMALY_FLOATS[:4])},
     {r6('flag_rate_48h / nullif(flag_rate_normal, 0)')} AS lift_48h
     FROM (SELECT count(*) AS row_count, count(*) FILTER (WHERE flag) AS flags,
@@ -350,6 +352,9 @@ ANOMALY_FLOATS = ["flag_rate_normal", "flag_rate_48h", "event_recall_48h", "pr_a
         SELECT bool_or(flag) AS hit FROM flagged_e WHERE {_near} GROUP BY machine_id, next_failure_at)),
      (SELECT sum(pos * precision) / nullif(sum(pos), 0) AS pr_auc FROM points_f)""",
 )
+
+
+@query("m13_evaluate_anomalies", "SELECT * FROM anomaly_metrics_e")
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
     return round6(E.evaluate_anomalies(_flagged(w), w.p), ANOMALY_FLOATS)

@@ -16,7 +16,8 @@ from fleetspark.plans import scoring
 from fleetspark.plans.boosting import Forest
 from fleetspark.plans.labels import feature_columns
 from fleetspark.suite.blocks import COMPS, ERRORS, RISK, U, W, P, each
-from fleetspark.suite.judging import METRIC_FLOATS, _flagged, baselines
+from fleetspark.suite.boosted import Judged, boosted_blocks
+from fleetspark.suite.judging import METRIC_FLOATS, ROW, _flagged, baselines, curve_blocks, judged_blocks
 from fleetspark.suite.layers import round6
 from fleetspark.suite.registry import block, query, r6
 from fleetspark.suite.worlds import event_world
@@ -63,39 +64,113 @@ def trained(spark, sf_dir) -> Trained:
     return _trained[key]
 
 
-@query("m9_failure_model")
+_actual = [f"{c}_fails_within_{P.horizon}{U}" for c in COMPS]
+_first = "CASE " + " ".join(f"WHEN {a} = 1 THEN '{c}'" for a, c in zip(_actual, COMPS, strict=True)) + " END"
+block(
+    "frequency_m",
+    f"""SELECT count(*) AS rows_before_failure,
+    {r6('avg(CAST(CASE top ' + ' '.join(f"WHEN '{c}' THEN {a}" for a, c in zip(_actual, COMPS, strict=True)) + ' END AS DOUBLE))')} AS top1_accuracy,
+    {r6('avg(CAST((' + ' AND '.join(f'({c}_share >= 0.5) = ({a} = 1)' for a, c in zip(_actual, COMPS, strict=True)) + ') AS INTEGER))')} AS exact_set_accuracy
+    FROM parts_e, (SELECT *, CASE greatest({each('{x}_share', COMPS)}) {' '.join(f"WHEN {c}_share THEN '{c}'" for c in COMPS)} END AS top FROM (
+      SELECT {', '.join(f'avg({a}) AS {c}_share' for a, c in zip(_actual, COMPS, strict=True))} FROM parts_e WHERE part = 'fit' AND {P.target} = 1))
+    WHERE part = 'test' AND {P.target} = 1""",
+)
+
+# ---------------------------------------------------------------- SQL that trains the same models
+
+SETTINGS = M.settings(P)
+FAILURE = {f"candidate {i}": Judged(P.target, s) for i, s in enumerate(SETTINGS)}
+boosted_blocks("tried", "fit", "validation", FAILURE)
+for _m in range(len(SETTINGS)):
+    curve_blocks(
+        f"tried_{_m}", f"SELECT {ROW}, score FROM parts_e JOIN (SELECT * FROM scores_tried WHERE m = {_m}) USING (machine_id, timestamp) WHERE part = 'validation'"
+    )
+block(
+    "chosen_m",
+    "SELECT m, threshold FROM ("
+    + " UNION ALL ".join(
+        f"""SELECT {m} AS m, (SELECT max(net_saving) FROM curve_tried_{m}) AS net_saving,
+  (SELECT max(threshold) FROM curve_tried_{m} WHERE net_saving = (SELECT max(net_saving) FROM curve_tried_{m})) AS threshold,
+  (SELECT coalesce(sum(pos * hits / called) / nullif(sum(pos), 0), 0) FROM (
+    SELECT pos, sum(pos) OVER w AS hits, sum(n) OVER w AS called FROM (
+      SELECT score, count(*) FILTER (WHERE {P.target} = 1) AS pos, count(*) AS n FROM val_tried_{m} GROUP BY score) WINDOW w AS (ORDER BY score DESC))) AS ap"""
+        for m in range(len(SETTINGS))
+    )
+    + ") ORDER BY net_saving DESC, ap DESC, m LIMIT 1",
+)
+boosted_blocks("final", "development", "test", FAILURE, "m = (SELECT m FROM chosen_m)")
+block("tested_m", f"SELECT {ROW}, score, threshold FROM chosen_m, parts_e JOIN scores_final USING (machine_id, timestamp) WHERE part = 'test'")
+judged_blocks("m", "tested_m", [])
+
+
+@query("m9_failure_model", "SELECT * FROM metrics_m")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
     return round6(E.evaluate(t.failure.test, t.w.costs, t.p), METRIC_FLOATS)
 
 
-@query("m10_shuffled_label_check")
+# Two orders of the fit rows by digests of their keys; each row takes the label of the row at its place in the other one.
+_order = lambda s: f"row_number() OVER (ORDER BY ('0x' || md5('{s}|' || machine_id || '|' || epoch_us(timestamp))[1:13])::BIGINT, machine_id, timestamp)"
+block(
+    "shuffled_e",
+    f"""SELECT p.*, coalesce(d.label, 0) AS mixed FROM parts_e AS p LEFT JOIN (
+  SELECT a.machine_id, a.timestamp, b.label, 'fit' AS part
+  FROM (SELECT machine_id, timestamp, {_order(P.seed)} AS place FROM parts_e WHERE part = 'fit') AS a
+  JOIN (SELECT {P.target} AS label, {_order(P.seed + 1)} AS place FROM parts_e WHERE part = 'fit') AS b USING (place)) AS d USING (machine_id, timestamp, part)""",
+)
+boosted_blocks("mixed", "fit", "validation", {k: Judged("mixed", j.setting) for k, j in FAILURE.items()}, "m = (SELECT m FROM chosen_m)", "shuffled_e")
+
+
+@query(
+    "m10_shuffled_label_check",
+    f"""SELECT {r6('ap')} AS pr_auc, {r6('chance')} AS chance_pr_auc, ap < {M.SHUFFLED_TOLERANCE} * chance AS passed FROM (
+  SELECT sum(pos * hits / called) / sum(pos) AS ap, sum(pos) / sum(n) AS chance FROM (
+    SELECT pos, n, sum(pos) OVER w AS hits, sum(n) OVER w AS called FROM (
+      SELECT score, count(*) FILTER (WHERE {P.target} = 1) AS pos, count(*) AS n
+      FROM parts_e JOIN scores_mixed USING (machine_id, timestamp) WHERE part = 'validation' GROUP BY score) WINDOW w AS (ORDER BY score DESC)))""",
+)
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
-    return M.shuffled_label_check(t.parts, t.features, t.p, t.failure.setting)
+    return round6(M.shuffled_label_check(t.parts, t.features, t.p, t.failure.setting), ["pr_auc", "chance_pr_auc"])
+
+
+boosted_blocks("parts", "development", "test", {c: Judged(P.component_target(c), SETTINGS[0]) for c in COMPS})
+_ranked = [f"{c}_risk" for c in COMPS]
+block(
+    "diagnosed_m",
+    f"""SELECT p.*, CASE greatest({', '.join(_ranked)}) {' '.join(f"WHEN {x} THEN '{c}'" for x, c in zip(_ranked, COMPS, strict=True))} END AS top
+FROM (SELECT machine_id, timestamp, {', '.join(f"max(score) FILTER (WHERE m = {i}) AS {x}" for i, x in enumerate(_ranked))} FROM scores_parts GROUP BY 1, 2)
+JOIN parts_e AS p USING (machine_id, timestamp) WHERE part = 'test' AND {P.target} = 1""".replace("p.*", "*"),
+)
+DIAGNOSIS = f"""SELECT count(*) AS rows_before_failure, {r6('coalesce(avg(top_hit), 0)')} AS top1_accuracy, {r6('coalesce(avg(exact), 0)')} AS exact_set_accuracy
+FROM (SELECT CAST(CASE top {' '.join(f"WHEN '{c}' THEN {P.component_target(c)}" for c in COMPS)} END AS DOUBLE) AS top_hit,
+  CAST(({' AND '.join(f'({c}_risk >= 0.5) = ({P.component_target(c)} = 1)' for c in COMPS)}) AS INTEGER) AS exact FROM diagnosed_m)"""
 
 
-@query("m11_component_diagnosis")
+@query("m11_component_diagnosis", f"SELECT *, 'component' AS model FROM ({DIAGNOSIS}) UNION ALL SELECT *, 'frequency' FROM frequency_m")
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
     base = M.frequency_risks(t.parts.where("part = 'test'"), t.parts.where("part = 'fit'"), t.p)
-    return (
+    out = (
         M.evaluate_diagnosis(t.risks, t.p)
         .withColumn("model", F.lit("component"))
         .unionByName(M.evaluate_diagnosis(base, t.p).withColumn("model", F.lit("frequency")))
     )
+    return round6(out, ["top1_accuracy", "exact_set_accuracy"])
 
 
-@query("m11_confusion")
+@query(
+    "m11_confusion",
+    f"""SELECT a.actual, {each("count(d.top) FILTER (WHERE d.top = '{x}') AS {x}", COMPS)}
+    FROM (SELECT unnest({list(COMPS)}) AS actual) AS a
+    LEFT JOIN (SELECT top, CASE {' '.join(f"WHEN {P.component_target(c)} = 1 THEN '{c}'" for c in COMPS)} END AS actual FROM diagnosed_m
+      WHERE {' + '.join(P.component_target(c) for c in COMPS)} = 1) AS d USING (actual) GROUP BY 1""",
+)
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
     return M.confusion(t.risks, t.p)
 
 
-_actual = [f"{c}_fails_within_{P.horizon}{U}" for c in COMPS]
-_first = "CASE " + " ".join(f"WHEN {a} = 1 THEN '{c}'" for a, c in zip(_actual, COMPS, strict=True)) + " END"
-
-
 @query(
     "f16_confusion_of_shares",
     f"""SELECT c.actual, {each("CAST(coalesce(sum(CAST(predicted_component = '{x}' AS INTEGER)), 0) AS BIGINT) AS {x}", COMPS)}
@@ -110,15 +185,7 @@ def _(spark, sf_dir):
     return M.confusion(w.ml_dataset.where("split = 'test'").join(risks, w.p.keys), w.p)
 
 
-@query(
-    "m11_frequency_baseline",
-    f"""SELECT count(*) AS rows_before_failure,
-    {r6('avg(CAST(CASE top ' + ' '.join(f"WHEN '{c}' THEN {a}" for a, c in zip(_actual, COMPS, strict=True)) + ' END AS DOUBLE))')} AS top1_accuracy,
-    {r6('avg(CAST((' + ' AND '.join(f'({c}_share >= 0.5) = ({a} = 1)' for a, c in zip(_actual, COMPS, strict=True)) + ') AS INTEGER))')} AS exact_set_accuracy
-    FROM parts_e, (SELECT *, CASE greatest({each('{x}_share', COMPS)}) {' '.join(f"WHEN {c}_share THEN '{c}'" for c in COMPS)} END AS top FROM (
-      SELECT {', '.join(f'avg({a}) AS {c}_share' for a, c in zip(_actual, COMPS, strict=True))} FROM parts_e WHERE part = 'fit' AND {P.target} = 1))
-    WHERE part = 'test' AND {P.target} = 1""",
-)
+@query("m11_frequency_baseline", "SELECT * FROM frequency_m")
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
     risks = M.frequency_risks(w.parts.where("part = 'test'"), w.parts.where("part = 'fit'"), w.p)
@@ -219,7 +286,13 @@ def _(spark, sf_dir):
     return M.score_all(rows, t.failure, t.components, t.w.anomaly_model, t.profile, t.p, ntz(t.p.train_end))
 
 
-@query("k55_model_comparison")
+@query(
+    "k55_model_comparison",
+    f"""SELECT *, result > baseline AS beats_baseline FROM (
+    SELECT 'failure' AS model, 'net_saving' AS metric, net_saving::DOUBLE AS result, (SELECT max(net_saving) FROM metrics_b WHERE part = 'test')::DOUBLE AS baseline FROM metrics_m
+    UNION ALL SELECT 'component', 'top1', top1_accuracy, (SELECT top1_accuracy FROM frequency_m) FROM ({DIAGNOSIS})
+    UNION ALL SELECT 'anomaly', 'lift_48h', lift_48h, {scoring.MIN_LIFT}::DOUBLE FROM anomaly_metrics_e)""",
+)
 def _(spark, sf_dir):
     t = trained(spark, sf_dir)
     rule = E.evaluate(baselines(t.w).where("part = 'test'"), t.w.costs, t.p, ["model", "part"]).agg(
@@ -232,4 +305,4 @@ def _(spark, sf_dir):
     anomaly = E.evaluate_anomalies(_flagged(t.w), t.p).select(
         F.col("lift_48h").alias("value"), F.lit(scoring.MIN_LIFT).alias("baseline")
     )
-    return C.model_comparison(failure, component, anomaly)
+    return round6(C.model_comparison(failure, component, anomaly), ["result", "baseline"])
