@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.functions.staging import stage
+from fleetspark.functions.staging import release, stage
 
 
 def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
@@ -23,19 +23,26 @@ def merge(labels: DataFrame, links: DataFrame) -> DataFrame:
         own = labels.select(F.col("id").alias(end), F.col("label").alias(f"{end}_label"))
         named = named.join(own, end)
     edges = _between(named.select("a_label", "b_label"), "a_label", "b_label")
-    edges = stage(edges, "edges")
-    moved = None
+    edges, moved, used = stage(edges, "edges"), None, []
     while edges.limit(1).count():
         hooks = stage(edges.groupBy("high").agg(F.min("low").alias("low")), "hooks")
+        used += [edges, hooks]
         while True:
             onward = hooks.select(F.col("high").alias("low"), F.col("low").alias("next"))
             jumped = stage(hooks.join(onward, "low", "left").select("high", F.coalesce("next", "low").alias("low"), F.col("next").isNotNull().alias("went")), "hooks")
+            used.append(jumped)
             hooks = jumped.select("high", "low")
             if not jumped.where("went").limit(1).count():
                 break
         edges = stage(_between(_moved(_moved(edges, "high", hooks), "low", hooks), "high", "low"), "edges")
-        moved = hooks if moved is None else stage(_moved(moved, "low", hooks).unionByName(hooks), "moves")
-    return labels if moved is None else stage(_moved(labels, "label", moved), "labels")
+        if moved is None:
+            moved = hooks
+        else:
+            moved = stage(_moved(moved, "low", hooks).unionByName(hooks), "moves")
+            used.append(moved)
+    merged = labels if moved is None else stage(_moved(labels, "label", moved), "labels")
+    release(*used, edges)
+    return merged
 
 
 def _between(df: DataFrame, a: str, b: str) -> DataFrame:

@@ -35,7 +35,7 @@ from math import exp, sqrt
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import release, stage
@@ -288,10 +288,11 @@ def similar_components(
 
     nodes = filled.groupBy(*same).agg(F.min("id").alias("id"), F.first("n_own").alias("n_own"), F.first("boxes").alias("boxes"))
     entries = nodes.select("id", "n_own", F.posexplode("boxes").alias("at", "box"))
-    entries = entries.select("id", "box", (F.col("at") < F.col("n_own")).alias("own")).repartition("box")
-    shared = entries.groupBy("box").agg(F.min("id").alias("least"), F.max("id").alias("most"), F.max("own").alias("own"))
-    shared = shared.where("least < most and own").select("box")
-    entries = stage(entries.join(shared, "box", "left_semi").select("box", "id"), "boxes")
+    entries = entries.select("id", "box", (F.col("at") < F.col("n_own")).alias("own"))
+    # What a box holds is found and kept in one pass over its entries, which are dealt out once.
+    of_box = Window.partitionBy("box")
+    shared = {"least": F.min("id").over(of_box), "most": F.max("id").over(of_box), "any_own": F.max("own").over(of_box)}
+    entries = stage(entries.withColumns(shared).where("least < most and any_own").select("box", "id"), "boxes")
     named = stage(signed.select("id", *same), "names")
     release(signed)
 
