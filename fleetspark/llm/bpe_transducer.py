@@ -180,9 +180,11 @@ class Transducer:
             return [whole]
         if len(self._states) > self._max_states:
             self._clear()
-        state, out, arcs = 0, [], self._next
-        for byte in piece:
+        state, out, arcs, last = 0, [], self._next, len(piece) - 1
+        for i, byte in enumerate(piece):
             arc = arcs.get(state << 8 | byte)
+            if arc is None and i == last:  # nothing follows, so no state needs to be made
+                return out + self._close(state, byte)
             if arc is None:
                 arc = self._step(state, byte)
                 if len(self._states) > 2 * self._max_states:  # one piece made as many states as all others may
@@ -193,11 +195,25 @@ class Transducer:
             if emitted:
                 out += emitted
         _, ends, _ = self._states[state]
-        rest, at = [], len(ends) - 1
+        return out + self._path(ends, len(ends) - 1)
+
+    def _close(self, state: int, byte: int) -> list[int]:
+        """The tokens still open in ``state`` when ``byte`` is the last one."""
+        pending, ends, live = self._states[state]
+        letter = bytes((byte,))
+        for start, part in live:
+            code = self._parts.get(part + letter, 0)
+            if code > 1 and self._pair(ends[start], (code >> 1) - 1):
+                token = (code >> 1) - 1
+                return [*self._path(ends, len(pending) + 1 - self._length[token]), token]
+        raise ValueError("the ranks lack a single byte or a part of a token")
+
+    def _path(self, ends: tuple[int, ...], at: int) -> list[int]:
+        rest = []
         while at:
             rest.append(ends[at])
             at -= self._length[ends[at]]
-        return out + rest[::-1]
+        return rest[::-1]
 
 
 class PieceCache(dict):
