@@ -11,11 +11,13 @@ missing. Missing numbers stay missing (see ``trees``).
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,9 @@ from fleetspark.functions.staging import stage
 from fleetspark.params import FleetParams
 from fleetspark.plans.trees import SCALE, Setting, Trees, grow
 
+# Executors get the functions of this module with the task and need no copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 TEXT = ("model", "plant_id", "line_id")
 NODES = "name string, tree int, node int, feature int, cut double, value long"
 

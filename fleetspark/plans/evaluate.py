@@ -6,6 +6,10 @@ grouping columns ``by``, so several models, parts or thresholds are judged in on
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -55,6 +59,54 @@ def event_savings(events: DataFrame, costs: DataFrame, keys: list[str]) -> DataF
     return events.join(summed, keys)
 
 
+#: Functions of neighbouring chunks or blocks that are composed at a time.
+FAN = 32
+
+
+def _reachable(items: Column, field: str, limit: Column) -> Column:
+    """Of sorted ``items`` those before ``limit``, and the first one from there on."""
+    return F.concat(F.filter(items, lambda x: x[field] < limit), F.slice(F.filter(items, lambda x: x[field] >= limit), 1, 1))
+
+
+def _left(moves: Column, cover: Column) -> Column:
+    """The cover that a step function leaves of ``cover``."""
+    return F.coalesce(F.get(F.filter(moves, lambda m: m["at"] >= cover), 0)["cover"], cover)
+
+
+def _covers(blocks: DataFrame, keys: list[str], chunk_us: int, cooldown_us: int) -> DataFrame:
+    """(``keys``, _block, _cover): until when each block of (``keys``, _block, _moves) is covered before its first alert."""
+    first, last = blocks.agg(F.min("_block"), F.max("_block")).first()
+    tables, width = [], 1
+    while first is not None and first != last:
+        first, last, width = first // FAN, last // FAN, width * FAN
+        parent = F.floor(F.col("_block") / FAN).alias("_parent")
+        family = F.sort_array(F.collect_list(F.struct("_block", "_moves"))).alias("_kids")
+        grouped = stage(blocks.groupBy(*keys, parent).agg(family), "alert_blocks")
+        limit = F.col("_parent") * (width * chunk_us) + cooldown_us
+
+        def then(a: Column, b: Column, limit=limit) -> Column:
+            """First ``a``, then ``b``; a cover beyond all alerts of ``a`` goes on to ``b`` as it is."""
+            end = F.element_at(a, -1)["at"]
+            passed = F.transform(a, lambda m: F.struct(m["at"].alias("at"), _left(b, m["cover"]).alias("cover")))
+            beyond = F.when(end < limit, _reachable(F.filter(b, lambda m: m["at"] > end), "at", limit)).otherwise(F.slice(b, 1, 0))
+            return F.concat(passed, beyond)
+
+        composed = F.aggregate(F.slice("_kids", 2, FAN), F.get("_kids", 0)["_moves"], lambda a, kid: then(a, kid["_moves"]))
+        tables.append(grouped)
+        blocks = grouped.select(*keys, F.col("_parent").alias("_block"), composed.alias("_moves"))
+    covers = blocks.select(*keys, "_block", F.lit(-(2**62)).alias("_cover"))
+    for grouped in reversed(tables):
+        start = F.struct(F.col("_cover").alias("cover"), F.array().cast("array<struct<block:bigint,cover:bigint>>").alias("seen"))
+        step = lambda state, kid: F.struct(
+            _left(kid["_moves"], state["cover"]).alias("cover"),
+            F.concat(state["seen"], F.array(F.struct(kid["_block"].alias("block"), state["cover"].alias("cover")))).alias("seen"),
+        )
+        known = grouped.join(covers.withColumnRenamed("_block", "_parent"), [*keys, "_parent"])
+        seen = known.select(*keys, F.explode(F.aggregate("_kids", start, step, lambda state: state["seen"])).alias("_e"))
+        covers = seen.select(*keys, F.col("_e.block").alias("_block"), F.col("_e.cover").alias("_cover"))
+    return covers
+
+
 def inspections(
     alerts: DataFrame, p: FleetParams, cooldown_us: int, by: list[str] | None = None
 ) -> DataFrame:
@@ -62,10 +114,12 @@ def inspections(
     covered, the next one (exactly at its end counts) opens another.
 
     The rule is sequential, so it is solved per (entity, time chunk): a chunk only needs the
-    time until which it is already covered. Each chunk first lists where the cover would end
-    for every alert that could open it; the short list of chunks of an entity is folded to find
-    each chunk's real cover; then every chunk is replayed on its own. Arrays hold at most one
-    chunk of grid rows.
+    time until which it is already covered. To the chunks before and after, it is a step function
+    from that time to the one it leaves: one step for each alert that can open first. Functions of
+    ``FAN`` neighbours are composed to the function of a block, block by block up to one for each
+    entity; then the real covers are handed down the same tree, and every chunk is replayed on
+    its own. Arrays hold one chunk's alerts, the alerts of one cool-down, or ``FAN`` functions: none
+    grows with the life of an entity.
     """
     by = by or []
     keys = [*by, p.entity]
@@ -74,29 +128,14 @@ def inspections(
     chunks = rows.groupBy(*keys, "_chunk").agg(
         F.sort_array(F.collect_list(F.struct(F.col("_us").alias("us"), F.col(p.target).alias("y")))).alias("_a")
     )
+    chunks = stage(chunks, "alert_chunks")
     walk = lambda start: F.aggregate(
         F.col("_a"), start, lambda cover, x: F.when(x["us"] >= cover, x["us"] + cd).otherwise(cover)
     )
-    early = F.filter("_a", lambda x: x["us"] < F.col("_chunk") * p.chunk_us + cd)
-    late = F.slice(F.filter("_a", lambda x: x["us"] >= F.col("_chunk") * p.chunk_us + cd), 1, 1)
-    moves = F.transform(
-        F.concat(early, late), lambda x: F.struct(x["us"].alias("at"), walk(x["us"]).alias("cover"))
-    )
-    summaries = chunks.select(*keys, "_chunk", moves.alias("_moves"))
-    start = F.struct(F.lit(-(2**62)).alias("cover"), F.array().cast("array<struct<chunk:bigint,cover:bigint>>").alias("seen"))
-
-    def step(state, chunk):
-        hit = F.filter(chunk["_moves"], lambda m: m["at"] >= state["cover"])
-        after = F.when(F.size(hit) > 0, F.element_at(hit, 1)["cover"]).otherwise(state["cover"])
-        entry = F.struct(chunk["_chunk"].alias("chunk"), state["cover"].alias("cover"))
-        return F.struct(after.alias("cover"), F.concat(state["seen"], F.array(entry)).alias("seen"))
-
-    covers = (
-        summaries.groupBy(*keys)
-        .agg(F.sort_array(F.collect_list(F.struct("_chunk", "_moves"))).alias("_c"))
-        .select(*keys, F.explode(F.aggregate("_c", start, step, lambda s: s["seen"])).alias("_e"))
-        .select(*keys, F.col("_e.chunk").alias("_chunk"), F.col("_e.cover").alias("_cover"))
-    )
+    firsts = _reachable(F.col("_a"), "us", F.col("_chunk") * p.chunk_us + cd)
+    moves = F.transform(firsts, lambda x: F.struct(x["us"].alias("at"), walk(x["us"]).alias("cover")))
+    blocks = chunks.select(*keys, F.col("_chunk").cast("long").alias("_block"), moves.alias("_moves"))
+    covers = _covers(blocks, keys, p.chunk_us, cooldown_us).withColumnRenamed("_block", "_chunk")
     opened = F.aggregate(
         F.col("_a"),
         F.struct(F.col("_cover").alias("cover"), F.array().cast("array<struct<us:bigint,y:tinyint>>").alias("open")),
@@ -235,6 +274,37 @@ def threshold_candidates(rows: DataFrame, n: int = FleetParams.thresholds) -> Da
     return ranked.join(F.broadcast(ranks), "_rank").select("threshold").unionByName(never)
 
 
+def false_alarms(rows: DataFrame, grid: list[float], p: FleetParams, cooldown_us: int) -> DataFrame:
+    """(threshold, false_alarms) for every threshold of ``grid``, in one walk over the rows.
+
+    Rows stream through their entity's task in order of time. The walk keeps one cover for each
+    threshold and nothing of the rows it has passed; a row opens inspections at all thresholds up to its
+    score whose cover has ended. Scored rows lie on a grid of times, so no entity has more of
+    them than steps in its life.
+    """
+    levels = np.array(sorted(grid), float)
+    alerts = rows.select(p.entity, micros(p.time).alias("_us"), (F.col(p.target) == 1).alias("_y"), F.col("score").cast("double").alias("_s"))
+    alerts = alerts.where(F.col("_s") >= float(levels[0]) if len(levels) else F.lit(False))
+    ordered = alerts.repartition(p.entity).sortWithinPartitions(p.entity, "_us")
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cover, false, entity = np.empty(len(levels), np.int64), np.zeros(len(levels), np.int64), object()
+        for batch in batches:
+            reach = np.searchsorted(levels, batch.column(3).to_numpy(), "right").tolist()
+            for own, at, y, k in zip(*(batch.column(i).to_pylist() for i in range(3)), reach, strict=True):
+                if own != entity:
+                    entity = own
+                    cover[:] = -(2**62)
+                open_now = cover[:k] <= at
+                cover[:k][open_now] = at + cooldown_us
+                if not y:
+                    false[:k] += open_now
+        yield pa.RecordBatch.from_arrays([pa.array(levels), pa.array(false)], ["threshold", "false_alarms"])
+
+    counted = ordered.mapInArrow(walk, "threshold double, false_alarms long")
+    return counted.groupBy("threshold").agg(F.sum("false_alarms").alias("false_alarms"))
+
+
 def net_saving_curve(
     rows: DataFrame, thresholds: DataFrame, costs: DataFrame, p: FleetParams, cooldown_us: int | None = None
 ) -> DataFrame:
@@ -242,22 +312,12 @@ def net_saving_curve(
 
     An event is caught from its best score downwards, so events need no copy per threshold:
     each falls into one interval of the grid and the rest is a running sum over at most 201
-    rows. Inspections do depend on the threshold; only alert rows are copied, at most 201 times.
+    rows. Inspections do depend on the threshold: ``false_alarms`` walks once over the alerts.
     """
     cooldown_us = cooldown_us or p.horizon_us
     rows, thresholds = stage(rows, "judged_rows"), stage(thresholds, "thresholds")
     grid = thresholds.agg(F.sort_array(F.collect_set("threshold")).alias("_grid"))
-    copies = (
-        rows.select(*p.keys, p.target, "score")
-        .crossJoin(F.broadcast(grid))
-        .withColumn("threshold", F.explode(F.filter("_grid", lambda t: t <= F.col("score"))))
-        .drop("_grid", "score")
-    )
-    alarms = (
-        inspections(copies, p, cooldown_us, ["threshold"])
-        .groupBy("threshold")
-        .agg(n_if(~F.col("failure_followed")).alias("false_alarms"))
-    )
+    alarms = false_alarms(rows, grid.first()["_grid"] or [], p, cooldown_us)
     events = event_savings(failure_events(rows, p, F.lit(False)), costs, [p.entity, "failure_time"])
     reached = F.array_max(F.filter("_grid", lambda t: t <= F.col("best_score")))
     caught = (
@@ -273,12 +333,12 @@ def net_saving_curve(
         .groupBy("threshold")
         .agg(F.coalesce(F.sum("n"), F.lit(0)).alias("events_caught"), F.coalesce(F.sum("saving"), F.lit(0.0)).alias("_saved"))
     )
-    false_alarms = F.coalesce(F.col("false_alarms"), F.lit(0))
+    alarm = F.coalesce(F.col("false_alarms"), F.lit(0))
     return per_threshold.join(alarms, "threshold", "left").select(
         "threshold",
         "events_caught",
-        false_alarms.alias("false_alarms"),
-        (F.col("_saved") - false_alarms * F.lit(float(p.false_alarm_cost))).alias("net_saving"),
+        alarm.alias("false_alarms"),
+        (F.col("_saved") - alarm * F.lit(float(p.false_alarm_cost))).alias("net_saving"),
     )
 
 

@@ -138,3 +138,35 @@ def test_one_threshold_rule_for_every_number_of_scores(spark, n):
     places = {max(1, -(-n * m // 1_000_000)) for m in E.candidate_shares(200)}
     assert got == pytest.approx([*[(k - 1) / 7 for k in sorted(places)], (n - 1) / 7 + 1])
     assert len(got) <= 201 and (n > 100 or len(got) == n + 1)
+
+
+def test_inspections_of_one_entity_with_very_many_alerts(spark, p):
+    """A cover goes through three levels of blocks; long gaps leave chunks and blocks without alerts."""
+    rng = random.Random(7)
+    hours, at = [], 0.0
+    for _ in range(100_000):
+        at += rng.choice([0.01, 0.2, 0.3, 0.9]) if rng.random() > 0.0005 else rng.choice([24, 300, 2000])
+        hours.append(at)
+    us = sorted({round(h * HOUR_US) for h in hours})
+    df = spark.createDataFrame([(1, u) for u in us], "machine_id bigint, us bigint").select(
+        "machine_id", F.timestamp_micros("us").cast("timestamp_ntz").alias("timestamp"), F.lit(0).cast("tinyint").alias(p.target)
+    )
+    got = E.inspections(df, p.for_events(), DAY_US).select(F.unix_micros(F.col("timestamp").cast("timestamp")).alias("us"))
+    expected, cover = [], -1
+    for u in us:
+        if u >= cover:
+            expected.append(u)
+            cover = u + DAY_US
+    assert sorted(r["us"] for r in got.collect()) == expected
+
+
+def test_one_walk_gives_the_false_alarms_of_every_threshold(spark, frames, p):
+    rng = random.Random(8)
+    items = [(m, h, round(rng.random(), 2), h + 5 if rng.random() < 0.2 else None, "comp1") for m in (1, 2, 3) for h in range(0, 300, 3)]
+    df = rows(spark, frames, p, items)
+    grid = [0.1, 0.25, 0.5, 0.77, 0.99, 2.0]
+    got = {r["threshold"]: r["false_alarms"] for r in E.false_alarms(df, grid, p, DAY_US).collect()}
+    for t in grid:
+        opened = E.inspections(df.where(F.col("score") >= t), p, DAY_US)
+        assert got[t] == opened.where("not failure_followed").count()
+    assert {r["false_alarms"] for r in E.false_alarms(df.limit(0), grid, p, DAY_US).collect()} <= {0}
