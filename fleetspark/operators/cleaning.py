@@ -17,26 +17,31 @@ from fleetspark.functions.typing import n_if
 from fleetspark.operators.chunks import own_chunk, spread, with_us
 from fleetspark.params import FleetParams
 
-LINE = "_source_line"
+
+
+def source_order(df: DataFrame) -> str:
+    """The column that says which of two rows came first: over all files where they were landed, else the line."""
+    return "_source_order" if "_source_order" in df.columns else "_source_line"
 
 
 # ---------------------------------------------------------------- deduplicate
 
 
-def deduplicate(df: DataFrame, p: FleetParams, order: str = LINE) -> DataFrame:
+def deduplicate(df: DataFrame, p: FleetParams, order: str | None = None) -> DataFrame:
     """One row per (entity, time): the copy with the lowest ``order`` value.
 
     A grouped minimum combines on the map side, so a key with very many copies never meets in
     one task the way a ``row_number`` window would force it to.
     """
+    order = order or source_order(df)
     rest = [c for c in df.columns if c not in (*p.keys, order)]
     first = F.min(F.struct(order, *rest)).alias("_first")
     return df.groupBy(*p.keys).agg(first).select(*p.keys, "_first.*")
 
 
-def duplicate_counts(df: DataFrame, p: FleetParams, order: str = LINE) -> DataFrame:
+def duplicate_counts(df: DataFrame, p: FleetParams, order: str | None = None) -> DataFrame:
     """Rows removed, and how many of them differ from the kept row (NULL equals NULL)."""
-    sensors = list(p.sensors)
+    sensors, order = list(p.sensors), order or source_order(df)
     versions = df.groupBy(*p.keys, *sensors).agg(
         F.count(F.lit(1)).alias("_n"), F.min(order).alias("_line")
     )
@@ -293,7 +298,7 @@ def interpolate_linear(grid: DataFrame, p: FleetParams) -> DataFrame:
 # ---------------------------------------------------------------- all rules
 
 
-def slot_edges(typed: DataFrame, p: FleetParams, order: str = LINE) -> DataFrame:
+def slot_edges(typed: DataFrame, p: FleetParams, order: str | None = None) -> DataFrame:
     """First and last time of every (entity, step slot), each by its first copy.
 
     A reading with an earlier and a later one in its own slot has neighbours closer than one
@@ -301,6 +306,7 @@ def slot_edges(typed: DataFrame, p: FleetParams, order: str = LINE) -> DataFrame
     can go before any per-entity work: at most two rows per slot are left, however busy the
     entity is. Combines on the map side and removes duplicates on the way.
     """
+    order = order or source_order(typed)
     rest = [c for c in typed.columns if c not in (*p.keys, order)]
     rows = with_us(typed, p.time).withColumn("_slot", F.col("_us") - F.pmod("_us", F.lit(p.step_us)))
     edges = rows.groupBy(p.entity, "_slot").agg(

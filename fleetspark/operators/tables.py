@@ -16,9 +16,10 @@ from fleetspark.functions.typing import (
     parse_timestamp,
     trimmed,
 )
+from fleetspark.operators.cleaning import source_order
 from fleetspark.params import MODELS, FleetParams
 
-LINEAGE = ("_batch_id", "_source_line")
+LINEAGE = ("_batch_id", "_source_line", "_source_order")
 COST_COLUMNS = (
     "repair_cost",
     "unplanned_repair_cost",
@@ -45,16 +46,17 @@ def first_failed(checks: dict[str, Column]) -> Column:
 
 
 def kept(judged: DataFrame, keys: list[str]) -> DataFrame:
-    """Valid rows, the lowest source line of each key.
+    """Valid rows, the first one of each key in the order of the sources.
 
     A grouped minimum instead of a window or a join back: many copies of one key combine on the
     map side.
     """
     valid = judged.where(F.col("reason").isNull()).drop("reason")
-    rest = [c for c in valid.columns if c not in (*keys, "_source_line")]
+    order = source_order(valid)
+    rest = [c for c in valid.columns if c not in (*keys, order)]
     return (
         valid.groupBy(*keys)
-        .agg(F.min(F.struct("_source_line", *rest)).alias("_first"))
+        .agg(F.min(F.struct(order, *rest)).alias("_first"))
         .select(*keys, "_first.*")
         .select(*valid.columns)
     )
@@ -139,11 +141,11 @@ def judge_machines(landing: DataFrame, models: tuple[str, ...] = MODELS) -> Data
 def build_machines(landing: DataFrame, location: DataFrame, models: tuple[str, ...] = MODELS) -> DataFrame:
     """One row per machine with its plant and line; ``no_location`` flags machines without one."""
     place = location.select(
-        parse_integer("machineID").alias("machine_id"), *[trimmed(c).alias(c) for c in PLACE], "_source_line"
+        parse_integer("machineID").alias("machine_id"), *[trimmed(c).alias(c) for c in PLACE], F.col(source_order(location)).alias("_order")
     )
     place = (
         place.groupBy("machine_id")
-        .agg(F.min(F.struct("_source_line", *PLACE)).alias("_p"))
+        .agg(F.min(F.struct("_order", *PLACE)).alias("_p"))
         .select("machine_id", *[F.col(f"_p.{c}").alias(c) for c in PLACE])
     )
     rows = kept(judge_machines(landing, models), ["machine_id"]).join(place, "machine_id", "left")

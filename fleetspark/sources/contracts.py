@@ -12,9 +12,6 @@ from fleetspark.functions.times import ntz
 from fleetspark.functions.typing import n_if, parse_double, parse_timestamp
 from fleetspark.params import COMPONENTS, ERROR_TYPES, MODELS
 
-#: Unexpected values that a check names; it also says how many more there are.
-LISTED = 5
-
 CHECK_SCHEMA = "table_name string, check_name string, passed boolean, detail string"
 
 
@@ -31,6 +28,8 @@ class TableContract:
     categories: dict[str, tuple[str, ...]] = field(default_factory=dict)
     unique_columns: tuple[str, ...] = ()
     machine_count: int | None = None
+    #: Unexpected values that a check names; it also says how many more there are.
+    listed: int = 5
 
 
 # The contract of the public predictive-maintenance data set.
@@ -122,9 +121,9 @@ def check_table(name: str, df: DataFrame, contract: TableContract) -> DataFrame:
         out = out.unionByName(_stack(name, distinct, [("machine_count", ok, _text(F.col("n")))]))
     for c, allowed in contract.categories.items():
         odd = df.where(F.col(c).isNotNull() & ~F.col(c).isin(*allowed)).select(c).distinct()
-        listed = odd.orderBy(c).limit(LISTED).agg(F.sort_array(F.collect_list(c)).alias("_odd"))
+        listed = odd.orderBy(c).limit(contract.listed).agg(F.sort_array(F.collect_list(c)).alias("_odd"))
         listed = listed.crossJoin(F.broadcast(odd.agg(F.count(F.lit(1)).alias("_all"))))  # one row
-        more = F.when(F.col("_all") > LISTED, F.concat(F.lit(" and "), F.col("_all") - LISTED, F.lit(" more"))).otherwise("")
+        more = F.when(F.col("_all") > contract.listed, F.concat(F.lit(" and "), F.col("_all") - contract.listed, F.lit(" more"))).otherwise("")
         detail = F.concat(F.array_join("_odd", ", "), more)
         out = out.unionByName(_stack(name, listed, [(f"allowed_values:{c}", F.size("_odd") == 0, detail)]))
     for c in contract.unique_columns:

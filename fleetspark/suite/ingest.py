@@ -334,8 +334,10 @@ def _(spark, sf_dir):
     """SELECT 'errors' AS table_name, 'columns' AS check_name, true AS passed, 'all 3 present' AS detail
     UNION ALL SELECT 'errors', 'row_count', count(*) BETWEEN 1 AND 10, CAST(count(*) AS VARCHAR) FROM raw_errors
     UNION ALL SELECT 'errors', 'no_nulls', true, '0' UNION ALL SELECT 'errors', 'machine_id_valid', count(*) = 0, CAST(count(*) AS VARCHAR) FROM raw_errors WHERE CAST("machineID" AS BIGINT) <= 0
-    UNION ALL SELECT 'errors', 'allowed_values:errorID', count(*) = 0, coalesce(string_agg(v, ', ' ORDER BY v), '')
-      FROM (SELECT DISTINCT "errorID" AS v FROM raw_errors WHERE "errorID" NOT IN ('error1', 'error2', 'error3', 'error4', 'error5') ORDER BY 1 LIMIT 5)""",
+    UNION ALL SELECT 'errors', 'allowed_values:errorID', count(*) = 0,
+      coalesce(string_agg(v, ', ' ORDER BY v) FILTER (WHERE place <= 5), '') || CASE WHEN count(*) > 5 THEN ' and ' || (count(*) - 5) || ' more' ELSE '' END
+      FROM (SELECT v, row_number() OVER (ORDER BY v) AS place FROM (
+        SELECT DISTINCT "errorID" AS v FROM raw_errors WHERE "errorID" NOT IN ('error1', 'error2', 'error3', 'error4', 'error5')))""",
 )
 def _(spark, sf_dir):
     contract = TableContract(("datetime", "machineID", "errorID"), 1, 10, categories={"errorID": ERROR_TYPES})

@@ -3,7 +3,9 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
+from fleetspark.operators.tables import kept
 from fleetspark.plans.explore import report_checks
 from fleetspark.sources import landing as L
 from fleetspark.sources.contracts import TableContract, check_table, summary, validate_files
@@ -21,7 +23,7 @@ def source(tmp_path):
 def test_text_lands_unchanged_with_lineage(spark, source, tmp_path):
     root = str(tmp_path / "bronze")
     assert L.ingest_table(spark, str(source / "machines.csv"), "machines", root, "b1") == 3
-    rows = spark.read.parquet(f"{root}/machines").orderBy("_source_line").collect()
+    rows = L.landed(spark, "machines", root).orderBy("_source_line").collect()
     assert [(r["machineID"], r["model"], r["age"], r["_source_line"]) for r in rows] == [
         ("1", "model1", "5", 2), ("2", "", "NA", 3), ("3", "model2", "", 4),
     ]
@@ -89,8 +91,55 @@ def test_several_files_and_a_removed_one(spark, tmp_path):
     assert not L.check_landing(spark, sources, root).first()["stale"]
     (folder / "b.csv").unlink()
     assert L.check_landing(spark, sources, root).first()["stale"]
-    assert L.ingest_all(spark, sources, root) == {"t": "loaded"} and spark.read.parquet(f"{root}/t").count() == 3
-    assert not list((tmp_path / "bronze" / ".incoming").iterdir()) and not list((tmp_path / "bronze" / ".replaced").iterdir())
+    assert L.ingest_all(spark, sources, root) == {"t": "loaded"} and L.landed(spark, "t", root).count() == 3
+
+
+def test_keep_first_follows_files_then_lines(spark, tmp_path):
+    (tmp_path / "parts").mkdir()
+    for name, values in (("a", "1,late\n2,first"), ("b", "2,second\n1,later")):
+        (tmp_path / "parts" / f"{name}.csv").write_text(f"machineID,model\n{values}\n")
+    L.ingest_table(spark, str(tmp_path / "parts"), "t", str(tmp_path / "bronze"))
+    df = L.landed(spark, "t", str(tmp_path / "bronze"))
+    lines = [(r["_source_file"], r["_source_line"]) for r in df.orderBy("_source_order").collect()]
+    assert lines == [("a.csv", 2), ("a.csv", 3), ("b.csv", 2), ("b.csv", 3)]
+    first = kept(df.withColumn("reason", F.lit(None).cast("string")), ["machineID"])
+    assert {(r["machineID"], r["model"]) for r in first.collect()} == {("1", "late"), ("2", "first")}
+
+
+@pytest.mark.parametrize("crash", ["load_version", "write_parquet", "publish", "sweep"])
+def test_a_crash_between_any_two_steps_leaves_a_readable_table(spark, source, tmp_path, monkeypatch, crash):
+    root, path = str(tmp_path / "bronze"), source / "errors.csv"
+    sources = {"errors": str(path)}
+    L.ingest_all(spark, sources, root)
+    path.write_text("datetime,machineID,errorID\n2015-01-01 06:00:00,1,error1\n2015-01-01 07:00:00,1,error2\n")
+    whole = getattr(L, crash)
+
+    def dies(*args, **kwargs):
+        if crash == "write_parquet" and "_ledger" not in args[1]:
+            return whole(*args, **kwargs)  # dies while it enters the version into the ledger
+        raise RuntimeError("executor lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(L, crash, dies)
+        with pytest.raises(RuntimeError):
+            L.ingest_all(spark, sources, root)
+    assert L.landed(spark, "errors", root).count() == (2 if crash == "sweep" else 1)
+    L.ingest_all(spark, sources, root)
+    assert L.landed(spark, "errors", root).count() == 2
+    assert len([f for f in (tmp_path / "bronze" / "errors").iterdir() if not f.name.startswith(".")]) == 2
+
+
+def test_former_readers_finish_and_damage_is_a_failed_row(spark, source, tmp_path):
+    root, sources = str(tmp_path / "bronze"), {"errors": str(source / "errors.csv"), "machines": str(source / "machines.csv")}
+    L.ingest_all(spark, sources, root)
+    former = L.landed(spark, "errors", root)
+    L.ingest_all(spark, sources, root, force=True)
+    assert former.count() == 1 and len(L.versions(spark, "errors", root)) == 2
+    for f in (tmp_path / "bronze" / "errors" / L.versions(spark, "errors", root)[0]).glob("*.parquet"):
+        f.write_bytes(b"damaged")
+    got = {r["table_name"]: r for r in L.check_landing(spark, {**sources, "none": "/nowhere"}, root).collect()}
+    assert (got["errors"]["exists"], got["errors"]["readable"], got["none"]["exists"]) == (True, False, False)
+    assert got["machines"]["empty_cells"] == {"machineID": 0, "model": 1, "age": 1}
 
 
 def test_a_refused_table_keeps_the_entries_before_it(spark, source, tmp_path):
