@@ -5,6 +5,7 @@ from fleetspark.suite import (  # noqa: F401
     checking,
     ingest,
     judging,
+    landing,
     layers,
     learning,
     operators,
