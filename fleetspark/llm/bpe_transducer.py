@@ -46,7 +46,7 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Tokens of byte strings under ``ranks``; see the module's text."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 150_000):
         self.ranks = ranks
         self.tokens = {rank: token for token, rank in ranks.items()}
         self._length = {rank: len(token) for token, rank in ranks.items()}
@@ -110,7 +110,7 @@ class Transducer:
         known = self._stable.get(key)
         if known is not None:
             return known
-        if len(self._stable) >= 4 * self._max_states:
+        if len(self._stable) >= 2 * self._max_states:
             self._stable.clear()
         firsts, known = self._edges(right)[0], False
         if left < 0:
@@ -223,7 +223,7 @@ class PieceCache(dict):
     again move over, the others are forgotten.
     """
 
-    def __init__(self, encode, most: int = 400_000, longest: int = 64):
+    def __init__(self, encode, most: int = 250_000, longest: int = 64):
         super().__init__()
         self._encode, self._most, self._longest, self._before = encode, most, longest, {}
 
@@ -272,7 +272,7 @@ class Utf8Machine:
 class ByteBpe:
     """Encoder and decoder of one rank file; each task makes its own and keeps it."""
 
-    def __init__(self, path: str, pattern: str, max_states: int = 200_000):
+    def __init__(self, path: str, pattern: str, max_states: int = 150_000):
         self._split = regex.compile(pattern)
         self._transducer = Transducer(read_ranks(path), max_states)
         self._cache = PieceCache(self._transducer.encode)

@@ -296,7 +296,7 @@ def _(spark, sf_dir):
 
 # ---------------------------------------------------------------- contracts
 
-_contract = TableContract(
+CONTRACT = TableContract(
     ("datetime", "machineID", *SENSORS),
     100,
     5_000_000,
@@ -307,7 +307,7 @@ _contract = TableContract(
     unique_columns=("datetime",),
     machine_count=150,
 )
-_checks = [
+CONTRACT_CHECKS = [
     "SELECT 'telemetry' AS table_name, 'columns' AS check_name, true AS passed, 'all 6 present' AS detail",
     "SELECT 'telemetry', 'row_count', count(*) BETWEEN 100 AND 5000000, CAST(count(*) AS VARCHAR) FROM raw_telemetry",
     "SELECT 'telemetry', 'no_nulls', true, '0'",
@@ -324,9 +324,9 @@ _checks = [
 ]
 
 
-@query("b12_contract_telemetry", " UNION ALL ".join(_checks))
+@query("b12_contract_telemetry", " UNION ALL ".join(CONTRACT_CHECKS))
 def _(spark, sf_dir):
-    return check_table("telemetry", raw_telemetry(event_world(spark, sf_dir)), _contract)
+    return check_table("telemetry", raw_telemetry(event_world(spark, sf_dir)), CONTRACT)
 
 
 @query(
@@ -347,11 +347,11 @@ def _(spark, sf_dir):
 @query(
     "b12_contract_summary",
     "SELECT bool_and(passed) AS passed, count(*) AS checks_run, count(*) FILTER (WHERE NOT passed) AS checks_failed FROM ("
-    + " UNION ALL ".join(_checks)
+    + " UNION ALL ".join(CONTRACT_CHECKS)
     + ")",
 )
 def _(spark, sf_dir):
-    return summary(check_table("telemetry", raw_telemetry(event_world(spark, sf_dir)), _contract))
+    return summary(check_table("telemetry", raw_telemetry(event_world(spark, sf_dir)), CONTRACT))
 
 
 # ---------------------------------------------------------------- sources

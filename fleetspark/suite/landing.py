@@ -10,9 +10,11 @@ from pyspark.sql import functions as F
 from fleetspark.functions.staging import shared_dir
 from fleetspark.operators import cleaning
 from fleetspark.operators import tables as T
+from fleetspark.plans import star
 from fleetspark.sources import landing as L
+from fleetspark.sources.contracts import CHECK_SCHEMA, TableContract, check_table, validate_files
 from fleetspark.suite.blocks import SENSORS, each
-from fleetspark.suite.ingest import raw_errors, raw_location, raw_machines, raw_telemetry
+from fleetspark.suite.ingest import CONTRACT, CONTRACT_CHECKS, raw_errors, raw_location, raw_machines, raw_telemetry
 from fleetspark.suite.registry import block, query
 from fleetspark.suite.worlds import event_world
 
@@ -197,3 +199,42 @@ def _(spark, sf_dir):
     made = T.build_tables(raw, w.p)
     counted = [df.agg(F.count("*").alias("row_count")).withColumn("table_name", F.lit(n)) for n, df in made.items() if n in ("machines", "errors")]
     return counted[0].unionByName(counted[1])
+
+
+@query("a16_report", " UNION ALL ".join(CONTRACT_CHECKS))
+def _(spark, sf_dir):
+    """The checks of a table as a JSON report, and read again."""
+    path = f"{shared_dir(spark)}/report-{uuid.uuid4().hex}"
+    L.write_report(check_table("telemetry", raw_telemetry(event_world(spark, sf_dir)), CONTRACT), path)
+    return spark.read.schema(CHECK_SCHEMA).json(path)
+
+
+@query(
+    "b1_files",
+    """SELECT 'errors' AS table_name, 'file_exists' AS check_name, true AS passed, NULL AS detail UNION ALL SELECT 'gone', 'file_exists', false, NULL
+    UNION ALL SELECT 'errors', 'row_count', count(*) BETWEEN 1 AND 1000, CAST(count(*) AS VARCHAR) FROM landed_errors
+    UNION ALL SELECT 'errors', 'unique:machineID', count(*) = count(DISTINCT "machineID"), CAST(count(*) - count(DISTINCT "machineID") AS VARCHAR) FROM landed_errors""",
+)
+def _(spark, sf_dir):
+    """A missing file is one failed check, and nothing else of its table is looked at."""
+    w = landed(spark, sf_dir)
+    contract = TableContract(TEXTS["errors"], 1, 1000, unique_columns=("machineID",))
+    paths = {"errors": w.sources["errors"], "gone": f"{w.root}/none.csv"}
+    checks = validate_files(spark, paths, dict.fromkeys(paths, contract))
+    detail = F.when(F.col("check_name") != "file_exists", F.col("detail"))
+    return checks.where(F.col("check_name").isin("file_exists", "row_count", "unique:machineID")).select("table_name", "check_name", "passed", detail.alias("detail"))
+
+
+@query(
+    "a8_source_views",
+    """SELECT trim("errorID") AS code, count(*) AS row_count, count(DISTINCT e."machineID") AS machines, 0::BIGINT AS predictions FROM landed_errors AS e
+    WHERE datetime <> 'n/a' GROUP BY ALL""",
+)
+def _(spark, sf_dir):
+    """SQL over the landed sources by name; predictions that nobody has made yet are an empty, typed source."""
+    w = landed(spark, sf_dir)
+    star.register_views({"src_errors": w.landed("errors"), "src_predictions": star.no_predictions(spark)})
+    return spark.sql(
+        """SELECT trim(errorID) AS code, count(*) AS row_count, count(DISTINCT machineID) AS machines,
+        (SELECT count(*) FROM src_predictions WHERE alert AND failure_risk > 0.5) AS predictions FROM src_errors WHERE datetime <> 'n/a' GROUP BY 1"""
+    )
