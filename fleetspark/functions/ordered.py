@@ -1,38 +1,32 @@
 """Global order statistics without a global sort task.
 
-``Window.orderBy`` without a partition moves every row to one task. Here the ordering column
-is cut into ranges of about equal row counts, as many as the session's shuffle partitions ask for: bucket totals are a bounded
-frame that is summed once and broadcast, and the exact order is resolved inside each bucket
-in parallel. The cut points come from an approximate quantile sketch and are then constants,
-so they only decide the balance (outliers and heavy tails included), never the result. Ties
-are collapsed by a grouped pre-aggregation: a value shared by a third of all rows is one row.
+``Window.orderBy`` without a partition moves every row to one task. Here the rows are cut into ranges
+of the whole order tuple, twice as many as the session's shuffle partitions: Spark samples tuples for
+the splits, so that rows which tie in the first columns are still spread by the next ones. Range
+totals are a bounded frame that is summed once and broadcast, and the exact order is resolved inside
+each range in parallel. Ranges are written once with their number; the splits only decide the
+balance, never the result. Ties in all columns are collapsed by a grouped pre-aggregation: a tuple
+shared by a third of all rows is one row.
 """
 
 from __future__ import annotations
 
-import math
-
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import stage
 
-#: Ranges of a small table; a larger one has two for each shuffle partition of the session.
-BUCKETS = 1024
-SKETCH_ERROR = 0.0005
+
+def _direction(order: list[tuple[str, bool]]) -> list[Column]:
+    return [F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order]
 
 
-def _with_bucket(df: DataFrame) -> DataFrame:
-    """Add ``_bucket``, ascending with ``_order_value``; NULLs form the last bucket."""
-    buckets = max(BUCKETS, 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    share, error = [i / buckets for i in range(1, buckets)], min(SKETCH_ERROR, 0.5 / buckets)
-    cuts = sorted(set(df.where(F.col("_order_value").isNotNull()).approxQuantile("_order_value", share, error)))
-    splits = [-math.inf, *[c for c in cuts if math.isfinite(c)], math.inf]
-    if len(splits) == 2:
-        splits.insert(1, 0.0)
-    out = Bucketizer(splits=splits, inputCol="_order_value", outputCol="_bucket", handleInvalid="keep").transform(df)
-    return out.withColumn("_bucket", F.coalesce(F.col("_bucket"), F.lit(float(len(splits)))).cast("int"))
+def ranges(df: DataFrame, order: list[tuple[str, bool]]) -> DataFrame:
+    """``df`` with ``_bucket``, ascending in ``order``, as a written table; NULLs come last."""
+    n = 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # The rows are read twice, for the splits and for the ranges, so they are written first.
+    dealt = stage(df, "unordered").repartitionByRange(n, *_direction(order))
+    return stage(dealt.withColumn("_bucket", F.spark_partition_id()), "ordered")
 
 
 def running_totals(
@@ -40,14 +34,10 @@ def running_totals(
 ) -> DataFrame:
     """Add ``<c>_before`` (sum over strictly earlier rows) for every column of ``sums``.
 
-    ``order`` is a list of (column, descending) that identifies a row within ``by``; its first
-    column must be numeric or boolean. NULLs sort last. The input is written once, because the
-    sketch, the bucket totals and the result each read it.
+    ``order`` is a list of (column, descending) that identifies a row within ``by``. NULLs sort last.
     """
     by = by or []
-    first, descending = order[0]
-    x = F.col(first).cast("double")
-    keyed = _with_bucket(stage(df, "ordered").withColumn("_order_value", -x if descending else x)).drop("_order_value")
+    keyed = ranges(df, order)
 
     totals = keyed.groupBy(*by, "_bucket").agg(*[F.sum(c).alias(f"_t_{c}") for c in sums])
     earlier = Window.partitionBy(*by, F.lit(0)).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -57,7 +47,7 @@ def running_totals(
     keyed = _attach_small(keyed, offsets, [*by, "_bucket"])
     inside = (
         Window.partitionBy(*by, "_bucket")
-        .orderBy(*[F.col(c).desc_nulls_last() if d else F.col(c).asc_nulls_last() for c, d in order])
+        .orderBy(*_direction(order))
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     before = {

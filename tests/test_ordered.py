@@ -4,8 +4,9 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
-from fleetspark.functions.ordered import exact_quantiles, global_rank, share_of_total
+from fleetspark.functions.ordered import exact_quantiles, global_rank, ranges, share_of_total
 
 
 def test_rank_shares_ties_and_leaves_gaps(spark):
@@ -36,3 +37,12 @@ def test_quantiles_interpolate(spark):
 def test_shares(spark):
     df = spark.createDataFrame([(1,), (3,)], "n int")
     assert sorted(r["s"] for r in share_of_total(df, {"s": "n"}).collect()) == [0.25, 0.75]
+
+
+def test_ties_of_the_first_column_are_spread_by_the_next_ones(spark):
+    df = spark.range(20_000).select(F.when(F.col("id") % 10 < 9, 1.0).otherwise(F.rand(3)).alias("x"), F.xxhash64("id").alias("y"), "id")
+    sizes = [r["count"] for r in ranges(df, [("x", True), ("y", False)]).groupBy("_bucket").count().collect()]
+    assert len(sizes) > 4 and max(sizes) <= 2 * 20_000 / len(sizes)
+    ranked = global_rank(df, [("x", True), ("y", False)], "place", unique=True)
+    got = [r["place"] for r in ranked.orderBy(F.desc("x"), "y").collect()]
+    assert got == list(range(1, 20_001))
