@@ -44,12 +44,20 @@ CLOSES_P = frozenset(
 )
 BARRIERS = frozenset("ul ol dl table div article section main aside nav header footer form body html blockquote figure".split())
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)>", re.S)
+_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)", re.S)
+_OPEN = re.compile(r"<[a-zA-Z/!?]")
+_MARK = re.compile(r"[>\"']")
+#: Elements that may stand outside a body.
+OUTSIDE = frozenset("html head body frameset title meta link base script style noscript template".split())
 _NAMES = re.compile(r"(?:^|\s)(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORD = re.compile(r"[a-z]+")
 _SPACE = re.compile(r"[ \t\n\r\f\v]+")
 
 
+#: The tag of a body that a page lacks.
+IMPLIED = "implied-body"
+
+
 class Node:
     """An element: its parent's place, tag, attributes, own words, and words and link words inside."""
 
@@ -60,27 +68,81 @@ class Node:
         self.own = self.inside = self.linked = 0
 
 
+class _Ends:
+    """Finds the ends of tags in one pass: a quote hides ``>`` up to its partner, if it has one.
+
+    Where no ``>`` is left outside quotes, the quotes of the page are broken and hide nothing from there on.
+    """
+
+    def __init__(self, page: str):
+        self._page, self._alone, self._broken = page, set(), False
+        self.last = page.rfind(">")
+
+    def of(self, at: int) -> int:
+        """The place of the ``>`` that ends the tag whose attributes begin at ``at``; there is one."""
+        place = at
+        while not self._broken:
+            mark = _MARK.search(self._page, place)
+            if mark is None:
+                self._broken = True
+                break
+            kind, place = mark[0], mark.end()
+            if kind == ">":
+                return mark.start()
+            if kind not in self._alone:
+                partner = self._page.find(kind, place)
+                if partner < 0:
+                    self._alone.add(kind)  # nor has any later one
+                else:
+                    place = partner + 1
+        return self._page.find(">", at)
+
+
 def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
-    """Elements in page order, and what they show: (element, text), or (element, None) at a break."""
+    """Elements in page order, and what they show: (element, text), or (element, None) at a break.
+
+    What stands outside every element belongs to the body, which is implied where there is none. A
+    tag that the page ends in shows nothing. Time grows with the length of the page.
+    """
     nodes, shown, stack = [Node(-1, "", "")], [], [0]
-    at, n = 0, len(page)
+    at, n, body, ends = 0, len(page), 0, _Ends(page)
+
+    def home() -> int:
+        nonlocal body
+        if not body:
+            nodes.append(Node(0, IMPLIED, ""))
+            body = len(nodes) - 1
+        return body
 
     def text(end: int) -> None:
         if end > at:
             piece = page[at:end]
-            shown.append((stack[-1], html.unescape(piece) if "&" in piece else piece))
-            nodes[stack[-1]].own += piece.count(" ") + 1 if not piece.isspace() else 0
+            owner = stack[-1]
+            if owner == 0 and not piece.isspace():
+                owner = home()
+            shown.append((owner, html.unescape(piece) if "&" in piece else piece))
+            nodes[owner].own += piece.count(" ") + 1 if not piece.isspace() else 0
 
     while at < n:
-        found = _TOKEN.search(page, at)
-        if not found:
-            text(n)
+        if at > ends.last:  # no tag ends any more
+            cut = _OPEN.search(page, at)
+            text(cut.start() if cut else n)
             break
+        found = _TOKEN.search(page, at, ends.last + 1)
+        if not found:
+            text(ends.last + 1)
+            at = ends.last + 1
+            continue
         text(found.start())
-        at = found.end()
-        closing, tag, attributes = found.groups()
+        closing, tag = found.groups()
         if tag is None:
+            at = found.end()
+            if page.startswith("<!--", found.start()) and not page.startswith("-->", at - 3):
+                end = page.find("-->", found.start() + 4)
+                at = end + 3 if end >= 0 else n
             continue
+        end = ends.of(found.end())
+        attributes, at = page[found.end() : end], end + 1
         tag = tag.lower()
         if tag not in INLINE:
             shown.append((stack[-1], None))
@@ -99,7 +161,11 @@ def parse(page: str) -> tuple[list[Node], list[tuple[int, str | None]]]:
             _end(nodes, stack, CLOSES[tag])
         if tag in VOID:
             continue
+        if stack[-1] == 0 and tag not in OUTSIDE:
+            stack.append(home())
         nodes.append(Node(stack[-1], tag, attributes))
+        if tag == "body" and not body:
+            body = len(nodes) - 1
         if tag in RAW or tag in TEXT_ONLY:
             end = re.compile(rf"</{tag}\b[^>]*>?", re.I).search(page, at)
             stop = end.start() if end else n
@@ -137,7 +203,7 @@ def features(nodes: list[Node]) -> list[list[str]]:
         around.linked += node.linked
     out = []
     for node in nodes:
-        own = [f"tag:{node.tag}", f"own:{min(node.own, 64).bit_length()}", f"inside:{min(node.inside, 255).bit_length() // 2}"]
+        own = [f"tag:{'body' if node.tag == IMPLIED else node.tag}", f"own:{min(node.own, 64).bit_length()}", f"inside:{min(node.inside, 255).bit_length() // 2}"]
         if node.inside:
             own.append(f"links:{4 * node.linked // node.inside}")
         if "=" in node.attributes:
@@ -175,18 +241,27 @@ class Model:
             out[k] = 1 / (1 + exp(-max(-60.0, min(60.0, total[k]))))
         return out
 
+    def shows(self, nodes: list[Node]) -> list[bool]:
+        """Whether the own text of every element is main text; nothing speaks against text that stands outside all of them."""
+        out = [chance >= 0.5 for chance in self.marginals(nodes)]
+        bare = [False] * len(nodes)
+        for k in range(1, len(nodes)):
+            bare[k] = nodes[k].tag == IMPLIED or (bare[nodes[k].parent] and nodes[k].tag in INLINE)
+            out[k] = out[k] or bare[k]
+        return out
+
     def text(self, page: str | None) -> str:
         if not page:
             return ""
         nodes, shown = parse(page)
-        main = self.marginals(nodes)
+        main = self.shows(nodes)
         blocks, block = [], []
         for element, piece in [*shown, (0, None)]:
             if piece is None:
                 if block and (joined := _SPACE.sub(" ", "".join(block)).strip(" ")):
                     blocks.append(joined)
                 block = []
-            elif main[element] >= 0.5 and nodes[element].tag not in RAW:
+            elif main[element] and nodes[element].tag not in RAW:
                 block.append(piece)
         return " ".join(blocks)
 

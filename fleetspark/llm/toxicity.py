@@ -13,8 +13,10 @@ zero, the step goes back up instead. ``share`` is the share of toxic texts and `
 confirmed ones among all. Chance and risk are those of all texts, confirmed ones included: where
 every text is labelled, ``share`` equals ``seen`` and this is plain learning from two classes.
 
+Equal texts are one text for learning, positive if any of its copies is confirmed; shares and counts
+are those of distinct texts, so that the model follows from the tables and not from their layout.
 Training takes at most ``Settings.positives`` and ``Settings.unlabelled`` texts, those of the
-least hash of their id. Their features are counted by Spark; the driver gets the kept features and
+least hash of their least id. Their features are counted by Spark; the driver gets the kept features and
 which of them each sample text has. Every text is scored, whole.
 
 Null and empty texts have no features and get the score of the bias alone. Without positives or
@@ -143,16 +145,19 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     All three should hold only rows that may be learned from.
     """
     s = settings
-    docs = docs.where("id is not null")
-    confirmed = confirmed.where("id is not null").distinct()
+    docs = docs.where("id is not null and text is not null").select("id", "text", F.md5("text").alias("_text"))
+    marked = docs.select("id", "_text")
+    for marks, name in ((confirmed, "_p"), (labelled, "_l")):
+        marked = marked.join(marks.where("id is not null").select("id").distinct().withColumn(name, F.lit(1)), "id", "left")
+    # Copies would make their words look significant: each text counts once, under its least id, and
+    # is confirmed or labelled if any of its copies is.
+    counted = marked.groupBy("_text").agg(F.min("id").alias("id"), F.max("_p").alias("_p"), F.max("_l").alias("_l"))
+    counted = stage(counted, "distinct-texts")
     first = F.xxhash64("id", F.lit(s.seed))
-    counted = docs.select("id").distinct().join(confirmed.withColumn("_p", F.lit(1)), "id", "left")
-    n_all, n_confirmed = counted.agg(F.count("*"), F.count("_p")).first()
-    n_labelled = labelled.where("id is not null").select("id").distinct().count()
-    n_toxic = confirmed.count()
+    n_all, n_confirmed, n_labelled = counted.agg(F.count("*"), F.count("_p"), F.count("_l")).first()
     if not n_confirmed or n_confirmed == n_all:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0, s.leads)
-    share = n_toxic / max(n_labelled, n_toxic)
+    share = n_confirmed / max(n_labelled, n_confirmed)
     hidden = min(max((share * n_all - n_confirmed) / (n_all - n_confirmed), 0.0), 0.5)
     seen = n_confirmed / n_all
     prior = max(seen + (1 - seen) * hidden, 1e-3)
@@ -160,11 +165,10 @@ def train(docs: DataFrame, confirmed: DataFrame, labelled: DataFrame, settings:
     chosen = counted.where("_p = 1").orderBy(first, "id").limit(s.positives).unionByName(
         counted.where("_p is null").orderBy(first, "id").limit(s.unlabelled)
     )
-    chosen = stage(chosen.select("id", F.col("_p").isNotNull().alias("positive")), "sample")
-    # At most ``positives`` + ``unlabelled`` rows of two columns.
-    texts = docs.select("id", "text").join(F.broadcast(chosen), "id").where("text is not null")
-    # Copies would make their words look significant: each text counts once.
-    texts = stage(texts.dropDuplicates(["text"]).repartition(SAMPLE_PARTS), "sample-texts")
+    chosen = stage(chosen.select("id", "_text", F.col("_p").isNotNull().alias("positive")), "sample")
+    # At most ``positives`` + ``unlabelled`` rows of three columns; rows with equal id and text are one.
+    texts = docs.join(F.broadcast(chosen), ["id", "_text"]).drop("_text").dropDuplicates(["id"])
+    texts = stage(texts.repartition(SAMPLE_PARTS), "sample-texts")
     n_p, n_u = texts.agg(F.count_if("positive"), F.count_if(~F.col("positive"))).first()
     if not n_p or not n_u:
         return Model(np.zeros(0, np.uint64), np.zeros(0), -40.0, s.leads)

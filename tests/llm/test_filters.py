@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 import zlib
 
 import duckdb
@@ -165,6 +166,29 @@ def test_main_text(spark, html_model):
     assert got[1].startswith("A & B") and got[2] == got[3] == ""
 
 
+@pytest.mark.parametrize("page", ['<p>x</p><a ' + '""' * 10_000, "<a " * 100_000, "<!" * 100_000, '<a ">' * 50_000, "<a \"'" * 50_000 + ">", "<p>" * 20_000])
+def test_broken_tags_take_time_in_proportion(html_model, page):
+    start = time.perf_counter()
+    html_text.parse(page)
+    assert time.perf_counter() - start < 1
+
+
+def test_a_page_cut_at_every_byte(html_model):
+    start = time.perf_counter()
+    for cut in range(len(PAGE)):
+        assert isinstance(html_model.text(PAGE[:cut]), str)
+    assert time.perf_counter() - start < 5
+
+
+def test_text_outside_every_element(html_model):
+    assert html_model.text("plain text") == "plain text"
+    assert html_model.text("Intro <b>x</b> text") == "Intro x text"
+    assert html_model.text("1 < 2 and 3 > 2") == "1 < 2 and 3 > 2"
+    assert html_model.text("one <a href='x>y") == "one y"
+    assert html_model.text("one <a href=x") == "one"
+    assert html_model.text('one <b title="x>two</b> three') == "one two three"
+
+
 def test_held_out_pages(html_model):
     wrong = total = 0
     for page in example_pages(120, seed=77):
@@ -324,3 +348,26 @@ def test_license_headings_and_tags(spark):
     got = {r["doc_id"]: r for r in license_rules.with_licenses(rows).collect()}
     assert {i: got[i]["licenses"] for i in got} == dict(enumerate(texts.values()))
     assert got[4]["unmatched"] == ["spdx-other"]
+
+
+def test_toxic_scores_follow_from_texts_and_not_from_rows(spark):
+    """Each confirmed text has a copy without a label; scores are the same however rows are dealt and repeated."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = []
+    for i in range(600):
+        text = " ".join(rng.choice(words) for _ in range(30))
+        if i < 150:
+            text += " vile" + " slur" * (i % 3) + " insult" * (i % 2)
+            rows.append((2000 - i, text))
+        rows.append((i, text))
+    df = spark.createDataFrame(rows, "id long, text string")
+    labelled = spark.createDataFrame([(i,) for i in range(600)], "id long")
+    confirmed = labelled.where("id < 150")
+    seen = []
+    for docs in (df.repartition(1), df.repartition(7), df.orderBy(F.desc("id")), df.unionByName(df.where("id % 2 = 0"))):
+        model = toxicity.train(docs, confirmed, labelled)
+        scores = {r["id"]: r["score"] for r in toxicity.with_scores(df, model).collect()}
+        seen.append(scores)
+    assert all(scores == seen[0] for scores in seen)
+    assert sum(seen[0][i] >= 0.5 for i in range(150)) >= 140 and sum(seen[0][i] >= 0.5 for i in range(150, 600)) <= 5
