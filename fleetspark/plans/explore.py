@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetspark.functions.ordered import exact_quantiles
+from fleetspark.functions.ordered import exact_quantiles, medians
 from fleetspark.functions.times import micros, trunc
 from fleetspark.functions.typing import ratio
 from fleetspark.params import FleetParams
@@ -97,9 +97,9 @@ def resample_monthly(events: DataFrame) -> DataFrame:
 
 
 def machine_profile(df: DataFrame, columns: list[str], by: str = "machine_id") -> DataFrame:
-    return df.groupBy(by).agg(
-        *[F.median(c).alias(f"{c}_median") for c in columns], *[F.stddev_samp(c).alias(f"{c}_std") for c in columns]
-    )
+    """Exact median and deviation of each column per group."""
+    middle = medians(df, columns, [by]).withColumnsRenamed({c: f"{c}_median" for c in columns})
+    return middle.join(df.groupBy(by).agg(*[F.stddev_samp(c).alias(f"{c}_std") for c in columns]), by)
 
 
 def pivot_counts(df: DataFrame, rows: str, columns: str, values: list[str]) -> DataFrame:

@@ -14,9 +14,10 @@ from fleetspark.plans import evaluate as E
 from fleetspark.plans import models as M
 from fleetspark.plans import scoring
 from fleetspark.plans.boosting import Forest
+from fleetspark.plans.features import catalogue
 from fleetspark.plans.labels import feature_columns
 from fleetspark.suite.blocks import COMPS, ERRORS, RISK, U, W, P, each
-from fleetspark.suite.boosted import Judged, boosted_blocks
+from fleetspark.suite.boosted import FEATURES, Judged, boosted_blocks
 from fleetspark.suite.judging import METRIC_FLOATS, ROW, _flagged, baselines, curve_blocks, judged_blocks
 from fleetspark.suite.layers import round6
 from fleetspark.suite.registry import block, query, r6
@@ -196,22 +197,24 @@ def _(spark, sf_dir):
 
 ERROR_COLUMNS = [*[f"{e}_count_{W}{U}" for e in ERRORS], f"errors_total_{W}{U}"]
 _rows = f"SELECT * FROM parts_e WHERE part = 'development' AND {P.target} = 0"
+PROFILED = [f for f in FEATURES if catalogue(P)[f].group in M.LOCAL_GROUPS]
 block(
     "normal_e",
-    f"""SELECT machine_id, {each('median(CAST({x} AS DOUBLE)) AS {x}__median', ERROR_COLUMNS)},
-    {each('coalesce(nullif(stddev_samp(CAST({x} AS DOUBLE)), 0), nullif(any_value({x}__fleet), 0), 1.0::DOUBLE) AS {x}__std', ERROR_COLUMNS)}
-    FROM ({_rows}) CROSS JOIN (SELECT {each('stddev_samp(CAST({x} AS DOUBLE)) AS {x}__fleet', ERROR_COLUMNS)} FROM ({_rows})) GROUP BY machine_id""",
+    f"""SELECT machine_id, {each('median(CAST({x} AS DOUBLE)) AS {x}__median', PROFILED)},
+    {each('coalesce(nullif(stddev_samp(CAST({x} AS DOUBLE)), 0), nullif(any_value({x}__fleet), 0), 1.0::DOUBLE) AS {x}__std', PROFILED)}
+    FROM ({_rows}) CROSS JOIN (SELECT {each('stddev_samp(CAST({x} AS DOUBLE)) AS {x}__fleet', PROFILED)} FROM ({_rows})) GROUP BY machine_id""",
 )
 
 
 @query(
     "m14_normal_profile",
-    f"SELECT machine_id, {each('{x}__median', ERROR_COLUMNS)}, {each(r6('{x}__std') + ' AS {x}__std', ERROR_COLUMNS)} FROM normal_e",
+    f"SELECT machine_id, {each(r6('{x}__median') + ' AS {x}__median', PROFILED)}, {each(r6('{x}__std') + ' AS {x}__std', PROFILED)} FROM normal_e",
 )
 def _(spark, sf_dir):
+    """Every input that reasons can name."""
     w = event_world(spark, sf_dir)
-    out = M.normal_profile(w.parts.where("part = 'development'"), ERROR_COLUMNS, w.p)
-    return round6(out, [f"{c}__std" for c in ERROR_COLUMNS])
+    out = M.normal_profile(w.parts.where("part = 'development'"), PROFILED, w.p)
+    return round6(out, [f"{c}__{m}" for c in PROFILED for m in ("median", "std")])
 
 
 def _rule(p):

@@ -119,15 +119,14 @@ def _(spark, sf_dir):
 
 @query(
     "f12_machine_profile",
-    "SELECT machine_id, median(volt) AS volt_median, median(rotate) AS rotate_median, "
-    f"{r6('stddev_samp(volt)')} AS volt_std, {r6('stddev_samp(rotate)')} AS rotate_std FROM ranged GROUP BY machine_id",
+    f"SELECT machine_id, {each(r6('median({x})') + ' AS {x}_median')}, {each(r6('stddev_samp({x})') + ' AS {x}_std')} FROM ranged GROUP BY machine_id",
 )
 def _(spark, sf_dir):
     from fleetspark.operators import cleaning
 
     w = event_world(spark, sf_dir)
     rows = cleaning.null_out_of_range(cleaning.deduplicate(w.readings, w.p), w.p)
-    return round6(X.machine_profile(rows, ["volt", "rotate"]), ["volt_std", "rotate_std"])
+    return round6(X.machine_profile(rows, SENSORS), [f"{s}_{m}" for s in SENSORS for m in ("median", "std")])
 
 
 _marks = [0.001, 0.01, 0.25, 0.5, 0.75, 0.99, 0.999]
@@ -234,15 +233,23 @@ def _(spark, sf_dir):
     return round6(X.correlations(rows, SENSORS), ["corr"])
 
 
-_over = {"errors": ("errors_e", "timestamp, machine_id, error_id"), "failures": ("failures_e", "timestamp, machine_id, component"), "machines": ("machines_e", None)}
+#: Tables with their SQL name and columns.
+_over = {
+    "readings": ("readings", ["machine_id", "timestamp", "_source_line", *SENSORS]),
+    "errors": ("errors_e", ["timestamp", "machine_id", "error_id"]),
+    "failures": ("failures_e", ["timestamp", "machine_id", "component"]),
+    "maintenance": ("maintenance_e", ["timestamp", "machine_id", "component"]),
+    "machines": ("machines_e", ["machine_id", "model", "age", "plant_id", "plant_name", "city", "line_id"]),
+}
 
 
 @query(
     "f23_overview",
     " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS row_count, count(DISTINCT machine_id) AS machines, "
-        + (f"0 AS nulls, count(*) - count(DISTINCT ({cols})) AS duplicate_rows, min(timestamp) AS first_at, max(timestamp) AS last_at" if cols else
-           "count(*) FILTER (WHERE plant_id IS NULL) * 4 AS nulls, 0 AS duplicate_rows, CAST(NULL AS TIMESTAMP) AS first_at, CAST(NULL AS TIMESTAMP) AS last_at")
+        f"{' + '.join(f'count(*) FILTER (WHERE {c} IS NULL)' for c in cols)} AS nulls, "
+        f"count(*) - (SELECT count(*) FROM (SELECT DISTINCT {', '.join(cols)} FROM {b})) AS duplicate_rows, "
+        + ("min(timestamp) AS first_at, max(timestamp) AS last_at" if "timestamp" in cols else "CAST(NULL AS TIMESTAMP) AS first_at, CAST(NULL AS TIMESTAMP) AS last_at")
         + f" FROM {b}"
         for n, (b, cols) in _over.items()
     ),

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from fleetspark.functions.ordered import exact_quantiles, global_rank, ranges, share_of_total
+from fleetspark.functions.ordered import exact_quantiles, global_rank, medians, ranges, share_of_total
 
 
 def test_rank_shares_ties_and_leaves_gaps(spark):
@@ -46,3 +46,18 @@ def test_ties_of_the_first_column_are_spread_by_the_next_ones(spark):
     ranked = global_rank(df, [("x", True), ("y", False)], "place", unique=True)
     got = [r["place"] for r in ranked.orderBy(F.desc("x"), "y").collect()]
     assert got == list(range(1, 20_001))
+
+
+def test_medians_of_many_columns_and_groups(spark):
+    """One group holds most rows; groups without values, ties, and null keys have their medians too."""
+    rng = random.Random(6)
+    rows = [("hot", rng.gauss(0, 1), rng.randrange(3), None) for _ in range(40_000)]
+    rows += [(g, rng.choice([None, rng.random()]), rng.randrange(5), 1.5) for g in ["a", "b", None] for _ in range(rng.randint(30, 60))]
+    rows += [("one", 2.0, None, None)]
+    df = spark.createDataFrame(rows, "g string, x double, y int, z double").repartition(6)
+    got = {r["g"]: (r["x"], r["y"], r["z"]) for r in medians(df, ["x", "y", "z"], ["g"]).collect()}
+    assert set(got) == {"hot", "a", "b", None, "one"}
+    for g, found in got.items():
+        for k, value in enumerate(found, 1):
+            values = [r[k] for r in rows if r[0] == g and r[k] is not None]
+            assert value == (pytest.approx(np.median(values), abs=1e-12) if values else None)
