@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.times import date_key, micros, ntz
 from fleetspark.functions.typing import n_if
-from fleetspark.operators.timejoin import exists_between
 from fleetspark.params import FleetParams
 from fleetspark.plans import features
 from fleetspark.plans.kpis import in_period
@@ -250,10 +249,18 @@ def _moved(name: str, before: DataFrame, after: DataFrame, cutoff: Column, p: Fl
 
 
 def labels_correct(label_rows: DataFrame, failures: DataFrame, p: FleetParams) -> DataFrame:
-    """Recompute the target another way (count of failures in the horizon) and compare."""
-    counted = exists_between(label_rows, failures.select(*p.keys), p, p.horizon_us, "_expected")
-    wrong = F.col("_expected").cast("int") != F.col(p.target)
-    one = counted.agg(n_if(wrong).alias("_bad"))
+    """Mark the rows within the horizon before each failure, from the failures backwards, and compare.
+
+    Failures and rows meet in cells of one horizon: a failure reaches its own cell and the one before.
+    """
+    span = p.horizon_us
+    cell = lambda us: F.floor(F.col(us) / span)
+    rows = label_rows.select(*p.keys, p.target, micros(p.time).alias("_us")).withColumn("_cell", cell("_us"))
+    reach = failures.select(p.entity, micros(p.time).alias("_f")).distinct()
+    reach = reach.withColumn("_cell", F.explode(F.array(cell("_f"), cell("_f") - 1)))
+    hits = rows.join(reach, [p.entity, "_cell"]).where((F.col("_f") > F.col("_us")) & (F.col("_f") <= F.col("_us") + span))
+    marked = rows.join(hits.select(*p.keys).distinct().withColumn("_hit", F.lit(1)), p.keys, "left")
+    one = marked.agg(n_if(F.coalesce("_hit", F.lit(0)) != F.col(p.target)).alias("_bad"))
     return one.select(*_row("labels_correct", p.target, F.col("_bad") == 0, F.lit(0), F.col("_bad")))
 
 
@@ -362,6 +369,26 @@ def predictions_complete(predictions: DataFrame, rows: DataFrame, versions: dict
     return one.select(F.inline(F.array(*[F.struct(*r) for r in rows_])))
 
 
+def damaged_predictions(predictions: DataFrame, p: FleetParams) -> DataFrame:
+    """A copy with faults of known number, by the last digit of the entity's id.
+
+    3: the row is lost; 4: it is there twice; 5: no failure risk; 6: an old model; 7: the alert is turned
+    round; 8: the anomaly flag is; 9: no reason; 2: the risk is off by a quarter.
+    """
+    digit = F.pmod(F.col(p.entity), F.lit(10))
+    turned = lambda c, d: F.when(digit == d, ~F.col(c)).otherwise(F.col(c))
+    risk = F.when(digit == 5, None).when(digit == 2, F.col("failure_risk") + 0.25).otherwise(F.col("failure_risk"))
+    changed = {
+        "failure_risk": risk,
+        "failure_model_version": F.when(digit == 6, "old").otherwise(F.col("failure_model_version")),
+        "alert": turned("alert", 7),
+        "anomaly_flag": turned("anomaly_flag", 8),
+        "reason_1": F.when(digit != 9, F.col("reason_1")),
+    }
+    copies = F.explode(F.when(digit == 4, F.array(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1)))).alias("_copy")
+    return predictions.where(digit != 3).withColumns(changed).select("*", copies).drop("_copy")
+
+
 def thresholds_applied(predictions: DataFrame, alert_at: float, anomaly_threshold: DataFrame) -> DataFrame:
     one = predictions.crossJoin(F.broadcast(anomaly_threshold)).agg(
         n_if(F.col("alert") != (F.col("failure_risk") >= alert_at)).alias("wrong_alerts"),

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import stage
@@ -14,7 +15,7 @@ from fleetspark.plans.labels import feature_columns
 from fleetspark.suite.blocks import COMPS, SENSORS, P
 from fleetspark.suite.judging import _failed, _tested, _year, baselines
 from fleetspark.suite.layers import COUNTS, FEATURES, HOURS, round6, straight_lines
-from fleetspark.suite.registry import query, r6
+from fleetspark.suite.registry import block, query, r6
 from fleetspark.suite.warehouse import health
 from fleetspark.suite.worlds import event_world, supply_world
 
@@ -272,39 +273,76 @@ def _(spark, sf_dir):
     return round6(C.ground_truth(w.silver, straight_lines(w), truth, w.p), ["filled_mae", "linear_mae", "sensor_std"])
 
 
+block(
+    "damaged_e",
+    """SELECT * REPLACE (CASE WHEN digit = 5 THEN NULL WHEN digit = 2 THEN failure_risk + 0.25 ELSE failure_risk END AS failure_risk,
+    CASE WHEN digit = 6 THEN 'old' ELSE failure_model_version END AS failure_model_version,
+    CASE WHEN digit = 7 THEN NOT alert ELSE alert END AS alert, CASE WHEN digit = 8 THEN NOT anomaly_flag ELSE anomaly_flag END AS anomaly_flag,
+    CASE WHEN digit <> 9 THEN reason_1 END AS reason_1)
+    FROM (SELECT *, machine_id % 10 AS digit FROM predictions_e) WHERE digit <> 3""",
+)
+
+
+def _both(clean: dict[str, str], damaged: dict[str, str], check: str) -> str:
+    """Rows of a check whose subjects have the counts of these queries, on the predictions and on the damaged copy."""
+    return " UNION ALL ".join(
+        f"SELECT '{check}' AS check_name, '{n}' AS subject, ({sql}) = 0 AS passed, 0.0::DOUBLE AS expected, CAST(({sql}) AS DOUBLE) AS actual, {k} AS damage"
+        for k, counts in enumerate((clean, damaged))
+        for n, sql in counts.items()
+    )
+
+
+def _judged(w, check) -> DataFrame:
+    """``check`` of the predictions and of their damaged copy."""
+    both = (w.predictions, C.damaged_predictions(w.predictions, w.p))
+    parts = [check(df).withColumn("damage", F.lit(k)) for k, df in enumerate(both)]
+    return rounded_checks(parts[0].unionByName(parts[1]))
+
+
+_with_digit = lambda d: f"SELECT count(*) FROM predictions_e WHERE machine_id % 10 = {d}"
+
+
 @query(
     "l14_predictions_complete",
-    "SELECT 'predictions_complete' AS check_name, unnest(['missing_rows', 'duplicate_keys', 'empty_scores', 'old_versions']) AS subject, "
-    "(SELECT count(*) FROM spine) = (SELECT count(*) FROM predictions_e) AS passed, 0.0::DOUBLE AS expected, 0.0::DOUBLE AS actual",
+    _both(
+        {
+            "missing_rows": "SELECT count(*) FROM spine ANTI JOIN predictions_e USING (machine_id, timestamp)",
+            "duplicate_keys": "SELECT count(*) - count(DISTINCT (machine_id, timestamp)) FROM predictions_e",
+            "empty_scores": "SELECT count(*) FROM predictions_e WHERE failure_risk IS NULL OR anomaly_score IS NULL",
+            "old_versions": "SELECT count(*) FROM predictions_e WHERE failure_model_version <> 'rule'",
+        },
+        {"missing_rows": _with_digit(3), "duplicate_keys": _with_digit(4), "empty_scores": _with_digit(5), "old_versions": _with_digit(6)},
+        "predictions_complete",
+    ),
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
     versions = {k: "rule" for k in ("failure", "component", "anomaly")}
-    return C.predictions_complete(w.predictions, w.spine, versions, w.p)
+    return _judged(w, lambda df: C.predictions_complete(df, w.spine, versions, w.p))
 
 
-@query(
-    "l15_thresholds_applied",
-    zero("thresholds_applied", "wrong_alerts", "SELECT count(*) FROM predictions_e WHERE alert <> (failure_risk >= 0.5)")
-    + " UNION ALL "
-    + zero("thresholds_applied", "wrong_flags", "SELECT count(*) FROM predictions_e, anomaly_threshold_e WHERE anomaly_flag <> (anomaly_score >= anomaly_threshold)")
-    + " UNION ALL "
-    + zero("thresholds_applied", "alerts_without_reason", "SELECT count(*) FROM predictions_e WHERE alert AND reason_1 IS NULL"),
-)
+_applied = lambda t: {
+    "wrong_alerts": f"SELECT count(*) FROM {t} WHERE alert <> (failure_risk >= 0.5)",
+    "wrong_flags": f"SELECT count(*) FROM {t}, anomaly_threshold_e WHERE anomaly_flag <> (anomaly_score >= anomaly_threshold)",
+    "alerts_without_reason": f"SELECT count(*) FROM {t} WHERE alert AND reason_1 IS NULL",
+}
+
+
+@query("l15_thresholds_applied", _both(_applied("predictions_e"), _applied("(SELECT * FROM damaged_e UNION ALL SELECT * FROM damaged_e WHERE digit = 4)"), "thresholds_applied"))
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
-    return C.thresholds_applied(w.predictions, scoring.ALERT_AT, w.anomaly_model[1])
+    return _judged(w, lambda df: C.thresholds_applied(df, scoring.ALERT_AT, w.anomaly_model[1]))
 
 
 @query(
     "l16_reproducible",
-    "SELECT 'reproducible' AS check_name, 'max_difference' AS subject, count(*) > 0 AS passed, 0.0::DOUBLE AS expected, 0.0::DOUBLE AS actual FROM predictions_e",
+    _both({"max_difference": "SELECT 0"}, {"max_difference": "SELECT max(CASE WHEN machine_id % 10 = 2 THEN 0.25 ELSE 0 END) FROM predictions_e"}, "reproducible"),
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
     rows = w.sensor_features.join(w.event_features, w.p.keys)
     again = scoring.rule_predictions(rows, w.anomaly_model, w.failures, w.p)
-    return C.reproducible(w.predictions, again, ["failure_risk", "anomaly_score", *[f"{c}_risk" for c in COMPS]], w.p)
+    return _judged(w, lambda df: C.reproducible(df, again, ["failure_risk", "anomaly_score", *[f"{c}_risk" for c in COMPS]], w.p))
 
 
 @query(
