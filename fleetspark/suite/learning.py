@@ -45,6 +45,10 @@ class Trained:
     def components(self) -> Forest:
         return M.train_component_models(self.parts, self.features, self.p)
 
+    @cached_property
+    def tried_components(self) -> Forest:
+        return M.train_component_models(self.parts, self.features, self.p, "fit")
+
     @cached_property
     def profile(self) -> DataFrame:
         return M.normal_profile(self.parts.where("part = 'development'"), self.features, self.p)
@@ -135,17 +139,32 @@ def _(spark, sf_dir):
     return round6(M.shuffled_label_check(t.parts, t.features, t.p, t.failure.setting), ["pr_auc", "chance_pr_auc"])
 
 
-boosted_blocks("parts", "development", "test", {c: Judged(P.component_target(c), SETTINGS[0]) for c in COMPS})
 _ranked = [f"{c}_risk" for c in COMPS]
-block(
-    "diagnosed_m",
-    f"""SELECT p.*, CASE greatest({', '.join(_ranked)}) {' '.join(f"WHEN {x} THEN '{c}'" for x, c in zip(_ranked, COMPS, strict=True))} END AS top
-FROM (SELECT machine_id, timestamp, {', '.join(f"max(score) FILTER (WHERE m = {i}) AS {x}" for i, x in enumerate(_ranked))} FROM scores_parts GROUP BY 1, 2)
-JOIN parts_e AS p USING (machine_id, timestamp) WHERE part = 'test' AND {P.target} = 1""".replace("p.*", "*"),
-)
-DIAGNOSIS = f"""SELECT count(*) AS rows_before_failure, {r6('coalesce(avg(top_hit), 0)')} AS top1_accuracy, {r6('coalesce(avg(exact), 0)')} AS exact_set_accuracy
+
+
+def diagnosed(name: str, learn: str, other: str) -> str:
+    """Blocks of the component models learned from one part, and SQL of their diagnosis of another."""
+    boosted_blocks(name, learn, other, {c: Judged(P.component_target(c), SETTINGS[0]) for c in COMPS})
+    block(
+        f"diagnosed_{name}",
+        f"""SELECT *, CASE greatest({', '.join(_ranked)}) {' '.join(f"WHEN {x} THEN '{c}'" for x, c in zip(_ranked, COMPS, strict=True))} END AS top
+FROM (SELECT machine_id, timestamp, {', '.join(f"max(score) FILTER (WHERE m = {i}) AS {x}" for i, x in enumerate(_ranked))} FROM scores_{name} GROUP BY 1, 2)
+JOIN parts_e USING (machine_id, timestamp) WHERE part = '{other}' AND {P.target} = 1""",
+    )
+    return f"""SELECT count(*) AS rows_before_failure, {r6('coalesce(avg(top_hit), 0)')} AS top1_accuracy, {r6('coalesce(avg(exact), 0)')} AS exact_set_accuracy
 FROM (SELECT CAST(CASE top {' '.join(f"WHEN '{c}' THEN {P.component_target(c)}" for c in COMPS)} END AS DOUBLE) AS top_hit,
-  CAST(({' AND '.join(f'({c}_risk >= 0.5) = ({P.component_target(c)} = 1)' for c in COMPS)}) AS INTEGER) AS exact FROM diagnosed_m)"""
+  CAST(({' AND '.join(f'({c}_risk >= 0.5) = ({P.component_target(c)} = 1)' for c in COMPS)}) AS INTEGER) AS exact FROM diagnosed_{name})"""
+
+
+DIAGNOSIS = diagnosed("parts", "development", "test")
+TRIED_DIAGNOSIS = diagnosed("tried_parts", "fit", "validation")
+
+
+@query("m21_component_flow", f"SELECT *, 'validation' AS part FROM ({TRIED_DIAGNOSIS}) UNION ALL SELECT *, 'test' FROM ({DIAGNOSIS})")
+def _(spark, sf_dir):
+    t = trained(spark, sf_dir)
+    out = M.component_flow(t.parts, t.tried_components, t.components, t.p)
+    return round6(out, ["top1_accuracy", "exact_set_accuracy"])
 
 
 @query("m11_component_diagnosis", f"SELECT *, 'component' AS model FROM ({DIAGNOSIS}) UNION ALL SELECT *, 'frequency' FROM frequency_m")
@@ -164,7 +183,7 @@ def _(spark, sf_dir):
     "m11_confusion",
     f"""SELECT a.actual, {each("count(d.top) FILTER (WHERE d.top = '{x}') AS {x}", COMPS)}
     FROM (SELECT unnest({list(COMPS)}) AS actual) AS a
-    LEFT JOIN (SELECT top, CASE {' '.join(f"WHEN {P.component_target(c)} = 1 THEN '{c}'" for c in COMPS)} END AS actual FROM diagnosed_m
+    LEFT JOIN (SELECT top, CASE {' '.join(f"WHEN {P.component_target(c)} = 1 THEN '{c}'" for c in COMPS)} END AS actual FROM diagnosed_parts
       WHERE {' + '.join(P.component_target(c) for c in COMPS)} = 1) AS d USING (actual) GROUP BY 1""",
 )
 def _(spark, sf_dir):
