@@ -6,9 +6,11 @@ of every prefix follows from the last tokens of the shorter prefixes, and a byte
 enough. A transducer state is the last token emitted and the bytes read since; it holds the last
 token of each of their prefixes. On a byte, the last token of the longer prefix is found, and all
 tokens on which every prefix that a later token may still start from agrees are emitted: the
-lookahead is bounded by the longest token. States are made when first reached and kept with
-their transitions; past ``max_states`` the table is emptied between two pieces of text and grows
-anew, which changes no result.
+lookahead is bounded by the longest token. A transition and its state are made when asked for a
+second time and kept; the first time, the rest of a piece of up to ``SHORT`` bytes is read with
+all its open tokens side by side, so that what is met once leaves no states behind. Past
+``max_states`` the table is emptied between two pieces of text and grows anew. Neither changes a
+result.
 
 Decoding. Tokens are turned into bytes in blocks; an incremental UTF-8 state machine holds back
 the bytes of a character that is still open at the end of a block.
@@ -20,7 +22,7 @@ as they are; ``ids`` and ``decoded`` replace columns of the same name.
 from __future__ import annotations
 
 import base64
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 from itertools import islice
 from struct import pack
@@ -35,6 +37,8 @@ from fleetspark.llm.shipping import map_batches
 
 #: Pieces of text taken from the splitter at a time, and tokens decoded at a time.
 BLOCK = 1 << 16
+#: Longest rest of a piece, in bytes, that is read without making states.
+SHORT = 64
 _NEVER = 1 << 60
 
 
@@ -66,6 +70,8 @@ class Transducer:
         self._states: list[tuple[bytes, tuple[int, ...], tuple[tuple[int, bytes], ...]]] = []
         self._names: dict[tuple[int, bytes], int] = {}
         self._next: dict[int, tuple[int, tuple[int, ...]]] = {}
+        #: Transitions asked for once.
+        self._met: set[int] = set()
         self._state(b"", (-1,), ((0, b""),))
 
     def _state(self, pending: bytes, ends: tuple[int, ...], live: tuple[tuple[int, bytes], ...]) -> int:
@@ -183,8 +189,8 @@ class Transducer:
         state, out, arcs, last = 0, [], self._next, len(piece) - 1
         for i, byte in enumerate(piece):
             arc = arcs.get(state << 8 | byte)
-            if arc is None and i == last:  # nothing follows, so no state needs to be made
-                return out + self._close(state, byte)
+            if arc is None and (i == last or last - i < SHORT and self._first_time(state << 8 | byte)):
+                return out + self._finish(state, piece, i)
             if arc is None:
                 arc = self._step(state, byte)
                 if len(self._states) > 2 * self._max_states:  # one piece made as many states as all others may
@@ -197,18 +203,40 @@ class Transducer:
         _, ends, _ = self._states[state]
         return out + self._path(ends, len(ends) - 1)
 
-    def _close(self, state: int, byte: int) -> list[int]:
-        """The tokens still open in ``state`` when ``byte`` is the last one."""
+    def _first_time(self, key: int) -> bool:
+        """Whether a transition has not been asked for before; forgetting some only delays them."""
+        if key in self._met:
+            return False
+        if len(self._met) >= 2 * self._max_states:
+            self._met.clear()
+        self._met.add(key)
+        return True
+
+    def _finish(self, state: int, piece: bytes, at: int) -> list[int]:
+        """The tokens still open in ``state`` and those of the rest of ``piece`` from ``at`` on."""
         pending, ends, live = self._states[state]
-        letter = bytes((byte,))
-        for start, part in live:
-            code = self._parts.get(part + letter, 0)
-            if code > 1 and self._pair(ends[start], (code >> 1) - 1):
-                token = (code >> 1) - 1
-                return [*self._path(ends, len(pending) + 1 - self._length[token]), token]
-        raise ValueError("the ranks lack a single byte or a part of a token")
-
-    def _path(self, ends: tuple[int, ...], at: int) -> list[int]:
+        rest, ends = pending + piece[at:], list(ends)
+        starts, parts, stable = [start for start, _ in live], self._parts.get, self._stable.get
+        for end in range(len(pending) + 1, len(rest) + 1):
+            found, still = -1, []
+            for start in starts:
+                code = parts(rest[start:end])
+                if code is not None:
+                    if found < 0 and code > 1:
+                        token = (code >> 1) - 1
+                        fits = stable(ends[start] << 32 | token)
+                        if fits or fits is None and self._pair(ends[start], token):
+                            found = token
+                    if code & 1:
+                        still.append(start)
+            if found < 0:
+                raise ValueError("the ranks lack a single byte or a part of a token")
+            ends.append(found)
+            still.append(end)
+            starts = still
+        return self._path(ends, len(rest))
+
+    def _path(self, ends: Sequence[int], at: int) -> list[int]:
         rest = []
         while at:
             rest.append(ends[at])

@@ -41,6 +41,15 @@ def test_transducer_with_few_states_gives_the_same(encoding):
         assert np.frombuffer(codec.encode(t), "<u4").tolist() == encoding.encode_ordinary(t)
 
 
+def test_pieces_met_again_go_through_the_states(encoding):
+    rng = random.Random(8)
+    pieces = ["".join(rng.choice(PARTS[:2] + PARTS[8:]) for _ in range(n)).encode() for n in [*range(1, 60), 200] * 3]
+    for states in (20, 100_000):
+        transducer = ByteBpe(P.path(RANKS), P.PATTERN, max_states=states)._transducer
+        for piece in pieces * 4:
+            assert transducer.encode(piece) == encoding._core_bpe.encode_single_piece(piece)
+
+
 def test_machine_holds_back_open_characters():
     text = "aé日🙂b".encode()
     for cut in range(len(text) + 1):
