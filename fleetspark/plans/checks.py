@@ -1,7 +1,7 @@
 """Checks of every layer as rows: check_name, subject, passed, expected, actual.
 
 Numbers are compared as doubles. Sides of a reconciliation are aggregated separately, each in
-one pass, and only their one-row results meet.
+one pass, and only their one-row results meet. All checks of a table share one scan of it.
 """
 
 from __future__ import annotations
@@ -65,6 +65,11 @@ def _row(check: str, subject: str | Column, passed: Column, expected: Column, ac
     ]
 
 
+def _rows(one: DataFrame, rows: list[list[Column]]) -> DataFrame:
+    """Check rows out of the columns of a one-row frame."""
+    return one.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+
+
 def _all(parts: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
@@ -79,19 +84,11 @@ def close(a: Column, b: Column) -> Column:
 def compare_one_row(check: str, expected: DataFrame, actual: DataFrame) -> DataFrame:
     """Compare the columns two one-row frames share, one check row each."""
     names = [c for c in expected.columns if c in actual.columns]
-    both = expected.select(*[F.col(c).alias(f"e_{c}") for c in names]).crossJoin(
-        F.broadcast(actual.select(*[F.col(c).alias(f"a_{c}") for c in names]))
-    )
-    return both.select(
-        F.inline(
-            F.array(
-                *[
-                    F.struct(*_row(check, c, close(F.col(f"e_{c}"), F.col(f"a_{c}")), F.col(f"e_{c}"), F.col(f"a_{c}")))
-                    for c in names
-                ]
-            )
-        )
+    both = expected.select(*[F.col(f"`{c}`").alias(f"e_{c}") for c in names]).crossJoin(
+        F.broadcast(actual.select(*[F.col(f"`{c}`").alias(f"a_{c}") for c in names]))
     )
+    sides = [(c, F.col(f"`e_{c}`"), F.col(f"`a_{c}`")) for c in names]
+    return _rows(both, [_row(check, c, close(e, a), e, a) for c, e, a in sides])
 
 
 # ---------------------------------------------------------------- warehouse
@@ -112,18 +109,30 @@ def unique_keys(tables: dict[str, DataFrame]) -> DataFrame:
 
 
 def references(tables: dict[str, DataFrame]) -> DataFrame:
-    """Orphans per link; a NULL key is an orphan. Facts are grouped by key before the anti join."""
-    parts = []
-    for fact, column, dim, dim_column in REFERENCES:
-        if fact in tables and dim in tables:
-            used = tables[fact].groupBy(F.col(column).alias("_key")).agg(F.count(F.lit(1)).alias("_n"))
-            known = tables[dim].select(F.col(dim_column).alias("_known")).distinct()
-            orphans = used.join(known, F.col("_key") == F.col("_known"), "left_anti").agg(
-                F.coalesce(F.sum("_n"), F.lit(0)).alias("_bad")
-            )
-            link = f"{fact}.{column} -> {dim}"
-            parts.append(orphans.select(*_row("references", link, F.col("_bad") == 0, F.lit(0), F.col("_bad"))))
-    return _all(parts)
+    """Orphans per link; a NULL key is an orphan.
+
+    The keys of all links are melted into one relation, grouped before they move, and meet the
+    melted keys of all dimensions in one anti join: each table is scanned once.
+    """
+    links = [link for link in REFERENCES if link[0] in tables and link[2] in tables]
+    melt = lambda df, rows: df.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    key = lambda c: F.col(c).cast("string").alias("_key")
+    used = [
+        melt(tables[fact], [(F.lit(i).alias("_link"), F.lit(d).alias("_dim"), key(c)) for i, (f, c, d, _) in enumerate(links) if f == fact])
+        for fact in dict.fromkeys(f for f, *_ in links)
+    ]
+    known = [
+        melt(tables[dim], [(F.lit(dim).alias("_dim"), key(c)) for c in dict.fromkeys(k for _, _, d, k in links if d == dim)])
+        for dim in dict.fromkeys(d for _, _, d, _ in links)
+    ]
+    used = _all(used).groupBy("_link", "_dim", "_key").agg(F.count(F.lit(1)).alias("_n"))
+    orphans = used.join(_all(known).distinct(), ["_dim", "_key"], "left_anti")
+    bad = [F.coalesce(F.sum(F.when(F.col("_link") == i, F.col("_n"))), F.lit(0)).alias(f"_bad_{i}") for i in range(len(links))]
+    rows = [
+        _row("references", f"{fact}.{column} -> {dim}", F.col(f"_bad_{i}") == 0, F.lit(0), F.col(f"_bad_{i}"))
+        for i, (fact, column, dim, _) in enumerate(links)
+    ]
+    return _rows(orphans.agg(*bad), rows)
 
 
 def date_keys(tables: dict[str, DataFrame]) -> DataFrame:
@@ -143,23 +152,22 @@ def date_keys(tables: dict[str, DataFrame]) -> DataFrame:
     return _all(parts)
 
 
-def _reading_totals(value: str, quality: str) -> list[Column]:
+def _reading_totals(sensor: str, value: str, quality: str, own: Column | None = None) -> list[Column]:
+    """Totals of one sensor, over the rows that are its ``own`` (all if None)."""
+    of = lambda c: c if own is None else F.when(own, c)
     return [
-        F.count(F.lit(1)).alias("row_count"),
-        F.count(value).alias("values"),
-        F.sum(value).alias("sum"),
-        *[n_if(F.col(quality) == q).alias(q) for q in ("ok", "filled", "missing")],
+        F.count(of(F.lit(1))).alias(f"{sensor}.row_count"),
+        F.count(of(F.col(value))).alias(f"{sensor}.values"),
+        F.sum(of(F.col(value))).alias(f"{sensor}.sum"),
+        *[F.count(of(F.when(F.col(quality) == q, 1))).alias(f"{sensor}.{q}") for q in ("ok", "filled", "missing")],
     ]
 
 
 def silver_reconciliation(silver: DataFrame, events: dict[str, DataFrame], tables: dict[str, DataFrame], p: FleetParams) -> DataFrame:
     """Rows, values, sums and flags per sensor, and event and machine rows."""
-    parts = []
-    for s in p.sensors:
-        wide = silver.agg(*_reading_totals(s, f"{s}_quality"))
-        long = tables["fact_sensor_reading"].where(F.col("sensor") == s).agg(*_reading_totals("value", "quality"))
-        both = compare_one_row("silver_reconciliation", wide, long)
-        parts.append(both.withColumn("subject", F.concat(F.lit(f"{s}."), F.col("subject"))))
+    wide = silver.agg(*[c for s in p.sensors for c in _reading_totals(s, s, f"{s}_quality")])
+    own = [c for s in p.sensors for c in _reading_totals(s, "value", "quality", F.col("sensor") == s)]
+    parts = [compare_one_row("silver_reconciliation", wide, tables["fact_sensor_reading"].agg(*own))]
     pairs = {"fact_failure": "failures", "fact_maintenance": "maintenance", "fact_error": "errors", "dim_machine": "machines"}
     for fact, source in pairs.items():
         count = lambda df: df.agg(F.count(F.lit(1)).alias(fact))  # noqa: B023, E731
@@ -195,16 +203,19 @@ def gold_reconciliation(monthly: DataFrame, tables: dict[str, DataFrame], period
 
 def view_checks(views: dict[str, DataFrame], fact_month: DataFrame, may_be_empty: tuple[str, ...] = ()) -> DataFrame:
     """Every view returns rows, and its failures and cost add up to the fact's."""
-    expected = fact_month.agg(F.sum("failures").alias("failures"), F.sum("total_cost").alias("total_cost"))
+    names = ("failures", "total_cost")
+    expected = F.broadcast(fact_month.agg(*[F.sum(c).alias(f"_e_{c}") for c in names]))
     parts = []
     for name, df in views.items():
-        rows = df.agg(F.count(F.lit(1)).alias("_n"))
         ok = F.lit(True) if name in may_be_empty else F.col("_n") > 0
-        parts.append(rows.select(*_row("view_rows", name, ok, F.lit(None), F.col("_n"))))
-        if {"failures", "total_cost"} <= set(df.columns):
-            sums = df.agg(F.sum("failures").alias("failures"), F.sum("total_cost").alias("total_cost"))
-            both = compare_one_row("view_totals", expected, sums)
-            parts.append(both.withColumn("subject", F.concat(F.lit(f"{name}."), F.col("subject"))))
+        rows, one = [_row("view_rows", name, ok, F.lit(None), F.col("_n"))], F.count(F.lit(1)).alias("_n")
+        if set(names) <= set(df.columns):
+            one = df.agg(one, *[F.sum(c).alias(f"_a_{c}") for c in names]).crossJoin(expected)
+            sides = [(c, F.col(f"_e_{c}"), F.col(f"_a_{c}")) for c in names]
+            rows += [_row("view_totals", f"{name}.{c}", close(e, a), e, a) for c, e, a in sides]
+        else:
+            one = df.agg(one)
+        parts.append(_rows(one, rows))
     return _all(parts)
 
 
@@ -282,7 +293,7 @@ def split_integrity(dataset: DataFrame, p: FleetParams) -> DataFrame:
         _row("label_balance", s, F.col(f"_p_{s}") > 0, F.lit(None), F.col(f"_p_{s}"))
         for s in ("train", "test")
     ]
-    return one.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    return _rows(one, rows)
 
 
 def completeness(dataset: DataFrame, columns: list[str]) -> DataFrame:
@@ -291,7 +302,7 @@ def completeness(dataset: DataFrame, columns: list[str]) -> DataFrame:
     rows = [
         _row("completeness", c, F.col(c) <= MAX_EMPTY_SHARE, F.lit(MAX_EMPTY_SHARE), F.col(c)) for c in columns
     ]
-    return one.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    return _rows(one, rows)
 
 
 def kpi_reconciliation(tables: dict[str, DataFrame], failures: DataFrame, period: DataFrame) -> DataFrame:
@@ -333,22 +344,21 @@ def ground_truth(silver: DataFrame, linear: DataFrame, truth: DataFrame, p: Flee
     """Per sensor: ok values that differ, error of filled values and of straight lines, spread."""
     known = truth.select(*p.keys, *[F.col(s).alias(f"{s}_true") for s in p.sensors])
     joined = silver.join(linear.select(*p.keys, *[f"{s}_linear" for s in p.sensors]), p.keys, "left").join(known, p.keys)
-    parts = []
+    found = {}
     for s in p.sensors:
         ok, filled = F.col(f"{s}_quality") == "ok", F.col(f"{s}_quality") == "filled"
         off = lambda c: F.avg(F.when(filled, F.abs(F.col(c) - F.col(f"{s}_true"))))  # noqa: B023, E731
-        parts.append(
-            joined.agg(
-                F.lit(s).alias("sensor"),
-                n_if(ok).alias("ok_values"),
-                n_if(ok & ~F.col(s).eqNullSafe(F.col(f"{s}_true"))).alias("ok_mismatches"),
-                n_if(filled).alias("filled_values"),
-                off(s).alias("filled_mae"),
-                off(f"{s}_linear").alias("linear_mae"),
-                F.stddev_samp(f"{s}_true").alias("sensor_std"),
-            )
-        )
-    return _all(parts)
+        found[s] = {
+            "ok_values": n_if(ok),
+            "ok_mismatches": n_if(ok & ~F.col(s).eqNullSafe(F.col(f"{s}_true"))),
+            "filled_values": n_if(filled),
+            "filled_mae": off(s),
+            "linear_mae": off(f"{s}_linear"),
+            "sensor_std": F.stddev_samp(f"{s}_true"),
+        }
+    one = joined.agg(*[c.alias(f"{s}_{name}") for s, each in found.items() for name, c in each.items()])
+    rows = [[F.lit(s).alias("sensor"), *[F.col(f"{s}_{name}").alias(name) for name in each]] for s, each in found.items()]
+    return _rows(one, rows)
 
 
 # ---------------------------------------------------------------- predictions
@@ -399,7 +409,7 @@ def thresholds_applied(predictions: DataFrame, alert_at: float, anomaly_threshol
         _row("thresholds_applied", c, F.col(c) == 0, F.lit(0), F.col(c))
         for c in ("wrong_alerts", "wrong_flags", "alerts_without_reason")
     ]
-    return one.select(F.inline(F.array(*[F.struct(*r) for r in rows])))
+    return _rows(one, rows)
 
 
 def reproducible(stored: DataFrame, again: DataFrame, columns: list[str], p: FleetParams) -> DataFrame:

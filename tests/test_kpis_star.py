@@ -95,6 +95,45 @@ def test_warehouse_checks_pass_and_catch_corruption(world, p, frames, spark):
     assert "missing_days" in failed(checks.date_keys(holes))
 
 
+def test_links_share_one_scan_and_count_their_own_orphans(spark):
+    dim = spark.createDataFrame([(1,), (2,), (2,)], "machine_id long")
+    days = spark.createDataFrame([(20150101,)], "date_key int")
+    parts = spark.createDataFrame([("comp1",)], "component string")
+    rows = [(1, 20150101, "comp1"), (None, 20150101, "comp1"), (3, 20150102, None), (2, 20150101, "1"), (3, 20150101, "comp1")]
+    fact = spark.createDataFrame(rows, "machine_id long, date_key int, component string")
+    tables = {"dim_machine": dim, "dim_date": days, "dim_component": parts, "fact_failure": fact, "fact_maintenance": fact.limit(0)}
+    out = checks.references(tables)
+    got = {r["subject"]: (r["passed"], r["actual"]) for r in out.collect()}
+    assert got == {
+        "fact_failure.machine_id -> dim_machine": (False, 3.0), "fact_failure.date_key -> dim_date": (False, 1.0),
+        "fact_failure.component -> dim_component": (False, 2.0), "fact_maintenance.machine_id -> dim_machine": (True, 0.0),
+        "fact_maintenance.date_key -> dim_date": (True, 0.0), "fact_maintenance.component -> dim_component": (True, 0.0),
+    }
+    # A table read from files is scanned once, however many links it has.
+    read = spark.range(10).select(F.col("id").alias("machine_id"), F.lit(20150101).alias("date_key"), F.lit("comp1").alias("component"))
+    plan = checks.references(tables | {"fact_failure": read})._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Range (0, 10") == 1
+
+
+def test_silver_reconciliation_of_all_sensors_in_one_pass(frames, spark, p):
+    wide = [(1, h, *[v] * 4, *[q] * 4) for h, (v, q) in enumerate([(1.5, "ok"), (2.5, "filled"), (None, "missing")])]
+    kinds = ", ".join([*[f"{s} double" for s in p.sensors], *[f"{s}_quality string" for s in p.sensors]])
+    silver = spark.createDataFrame(wide, f"machine_id long, hour int, {kinds}")
+    long = [(r[0], s, r[2], r[6]) for r in wide for s in p.sensors]
+    reading = spark.createDataFrame(long, "machine_id long, sensor string, value double, quality string")
+    one = spark.range(1)
+    events = {n: one for n in ("failures", "maintenance", "errors", "machines")}
+    facts = {n: one for n in ("fact_failure", "fact_maintenance", "fact_error", "dim_machine")}
+    out = checks.silver_reconciliation(silver, events, facts | {"fact_sensor_reading": reading}, p).collect()
+    assert len(out) == 6 * len(p.sensors) + 4 and all(r["passed"] for r in out)
+    assert {r["subject"]: r["actual"] for r in out}["volt.sum"] == 4.0
+    lost = reading.where("NOT (sensor = 'volt' AND quality = 'filled')").withColumn(
+        "quality", F.when((F.col("sensor") == "rotate") & (F.col("quality") == "ok"), "filled").otherwise(F.col("quality"))
+    )
+    bad = failed(checks.silver_reconciliation(silver, events, facts | {"fact_sensor_reading": lost}, p))
+    assert bad == {"volt.row_count", "volt.values", "volt.sum", "volt.filled", "rotate.ok", "rotate.filled"}
+
+
 def test_reconciliation_catches_one_changed_total(world, p, frames, spark):
     t, good = tables_of(world), star_of(world, p, frames, spark)
     assert not failed(checks.gold_reconciliation(t["kpi_machine_monthly"], good, world["period"]))
