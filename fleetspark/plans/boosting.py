@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from fleetspark.functions.staging import stage
 from fleetspark.params import FleetParams
-from fleetspark.plans.trees import SCALE, Setting, Trees, grow
+from fleetspark.plans.trees import SCALE, Scores, Setting, Trees, grow
 
 # Executors get the functions of this module with the task and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -74,20 +74,25 @@ class Forest:
         return out
 
     def with_scores(self, rows: DataFrame, names: dict[str, str]) -> DataFrame:
-        """``rows`` with one score column for each model: column by name of the model."""
+        """``rows`` with one score column for each model: column by name of the model.
+
+        Only the inputs go to Python and only scores come back. The function counts as not
+        deterministic, so that no filter on a score makes Spark score the rows twice.
+        """
         models = {column: self.trees(name) for name, column in names.items()}
-        typed = rows.drop(*models)
-        fields = typed.schema.fields
-        schema = T.StructType([*fields, *[T.StructField(c, T.DoubleType()) for c in models]])
         k = len(self.features)
 
-        def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = Scores(list(models.values()), k)
             for batch in batches:
-                x = _matrix(batch.column(batch.num_columns - 1), k)
-                made = [pa.array(m.scores(x)) for m in models.values()]
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *made], [*batch.schema.names[:-1], *models])
-
-        return typed.withColumn("_inputs", self.inputs()).mapInArrow(score, schema)
+                made = known.of(_matrix(batch, k))
+                yield pa.StructArray.from_arrays([pa.array(s) for s in made], [f"_{i}" for i in range(len(made))])
+
+        kind = T.StructType([T.StructField(f"_{i}", T.DoubleType()) for i in range(len(models))])
+        scored = F.arrow_udf(score, kind).asNondeterministic()
+        rows = rows.drop(*models)
+        out = rows.withColumn("_scores", scored(self.inputs()))
+        return out.select(*rows.columns, *[F.col("_scores")[f"_{i}"].alias(c) for i, c in enumerate(models)])
 
 
 def _matrix(lists: pa.Array, k: int) -> np.ndarray:
