@@ -14,8 +14,10 @@ of a point and the upper corner of a box bounds the overlap with everything in t
   it, so such nodes enter again under another hash; the last level takes empty groups too. No
   link is lost, whatever the data.
 * Lower levels: the points of one upper box are packed into R-tree nodes and searched with the
-  bound (``CountTree``). Boxes beyond ``TILE`` points are cut into tiles that meet pairwise.
-* Survivors are verified on their whole sets.
+  bound (``CountTree``). Boxes beyond ``TILE`` points are cut into tiles that meet pairwise. Boxes
+  of the same points are searched once. What the bound leaves must also pass a second one: the
+  parities of ``PARITIES`` finer groups differ in no more places than shingles are in one set only.
+* Survivors leave their first common box only and are verified on their whole sets.
 
 Groups of near copies would make all their pairs. So first, for ``ROUNDS`` rounds, each upper box
 offers one of its points (another one each round) to the points not yet connected to it; pairs
@@ -48,12 +50,16 @@ GROUPS = 128
 LEAF = 16
 FANOUT = 8
 TILE = 1024
+#: Groups of which a point holds the parity, and boxes it names to tell a pair's first common one.
+PARITIES = 4096
+FIRST = 16
 #: Rounds in which each box offers one point, and hash levels for nodes with empty groups.
 ROUNDS = 3
 LEVELS = 4
 #: Rows of a text batch that are worked on at a time.
 ROWS = 256
 
+_NO_BOX = np.int64(2**63 - 1)
 _ORDER = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -171,14 +177,21 @@ class _Signature:
 
 
 class _Points:
-    """The whole set and its group counts."""
+    """The whole set, its group counts and the parities of its finer groups, 64 in a number."""
 
-    fields = (("n", pa.int64()), ("shingles", pa.list_(pa.int64())), ("counts", pa.list_(pa.int32())))
-    schema = "n long, shingles array<long>, counts array<int>"
+    fields = (
+        ("n", pa.int64()),
+        ("shingles", pa.list_(pa.int64())),
+        ("counts", pa.list_(pa.int32())),
+        ("parities", pa.list_(pa.int64())),
+    )
+    schema = "n long, shingles array<long>, counts array<int>, parities array<long>"
 
     def of(self, points: np.ndarray) -> tuple:
         counts = np.bincount((points & np.uint64(GROUPS - 1)).astype(np.int64), minlength=GROUPS)
-        return len(points), points.view(np.int64), counts.astype(np.int32)
+        finer = np.bincount(((points >> np.uint64(16)) & np.uint64(PARITIES - 1)).astype(np.int64), minlength=PARITIES)
+        parities = np.packbits((finer & 1).astype(np.uint8)).view(np.int64)
+        return len(points), points.view(np.int64), counts.astype(np.int32), parities
 
 
 class CountTree:
@@ -218,9 +231,27 @@ class CountTree:
         return allowed
 
 
+def _may_link(parities: tuple[np.ndarray, np.ndarray], sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the places in which the parities differ leave enough for a link; ``sizes`` are sums of both sets."""
+    differing = np.bitwise_count((parities[0] ^ parities[1]).view(np.uint64)).sum(axis=1, dtype=np.int64)
+    return (100 + percent) * (sizes - differing) >= 2 * percent * sizes
+
+
+def _first_common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The least value in both rows, ``_NO_BOX`` if there is none.
+
+    Rows are the least values of two sets: if they have one in common, the least of the sets' is among them.
+    """
+    return np.where((a[:, :, None] == b[:, None, :]).any(axis=2), a, _NO_BOX).min(axis=1)
+
+
 def _search_tiles(percent: int):
-    """Pairs of unconnected points of each (box, i, j); rows arrive sorted by these."""
+    """Pairs of unconnected points of each (box, i, j); rows arrive sorted by these.
+
+    A pair comes from its first common box; from each one if the points' ``first`` have none in common.
+    """
     fields = pa.schema([("a", pa.int64()), ("b", pa.int64())])
+    lists = {"counts": GROUPS, "parities": PARITIES // 64, "first": FIRST}
 
     def pairs(group: dict[str, np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         left = group["tile"] == group["i"]
@@ -230,19 +261,27 @@ def _search_tiles(percent: int):
         counts, sizes, ids, labels = group["counts"], group["n"], group["id"], group["label"]
         tree = CountTree(counts[right], sizes[right])
         q_ids, q_labels, p_ids, p_labels = ids[left], labels[left], ids[right], labels[right]
-        same = group["i"][0] == group["j"][0]
+        queries, points = ({n: group[n][side] for n in ("n", "parities", "first")} for side in (left, right))
+        box, same = group["box"][0], group["i"][0] == group["j"][0]
         for at in range(0, int(left.sum()), 256):
             q, p = tree.search(counts[left][at : at + 256], sizes[left][at : at + 256], percent)
             q = q + at
             keep = (q_labels[q] != p_labels[p]) & ((q_ids[q] < p_ids[p]) | (not same))
-            yield np.minimum(q_ids[q], p_ids[p])[keep], np.maximum(q_ids[q], p_ids[p])[keep]
+            q, p = q[keep], p[keep]
+            for start in range(0, len(q), 8192):
+                x, y = q[start : start + 8192], p[start : start + 8192]
+                linked = _may_link((queries["parities"][x], points["parities"][y]), queries["n"][x] + points["n"][y], percent)
+                x, y = x[linked], y[linked]
+                common = _first_common(queries["first"][x], points["first"][y])
+                here = (common == box) | (common == _NO_BOX)
+                yield np.minimum(q_ids[x], p_ids[y])[here], np.maximum(q_ids[x], p_ids[y])[here]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[str, np.ndarray] | None = None
         for batch in _with_end(batches):
             if batch is not None:
                 new = {n: batch.column(n).to_numpy(zero_copy_only=False) for n in ("box", "i", "j", "tile", "id", "label", "n")}
-                new["counts"] = batch.column("counts").flatten().to_numpy().reshape(-1, GROUPS)
+                new.update({n: batch.column(n).flatten().to_numpy().reshape(-1, w) for n, w in lists.items()})
                 held = new if held is None else {n: np.concatenate((held[n], new[n])) for n in new}
             if held is None:
                 continue
@@ -313,12 +352,7 @@ def similar_components(
         release(open_entries, links)
 
     open_entries = _open(entries, labels)
-    sizes = open_entries.groupBy("box").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles"))
-    tiled = open_entries.join(sizes, "box").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
-    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-    tiled = tiled.select("box", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "label")
-    tiled = tiled.join(sets.select("id", "n", "counts"), "id").repartition("box", "i", "j").sortWithinPartitions("box", "i", "j")
-    pairs = map_batches(tiled, _search_tiles(percent), "a long, b long").distinct()
+    pairs = _candidates(open_entries, sets, percent).distinct()
     links = stage(_verified(pairs, sets, percent), "links")
     labels = merge(labels, links)
     release(open_entries, links)
@@ -336,3 +370,22 @@ def _open(entries: DataFrame, labels: DataFrame) -> DataFrame:
     named = entries.join(labels, "id")
     mixed = named.groupBy("box").agg(F.min("label").alias("least"), F.max("label").alias("most")).where("least < most")
     return stage(named.join(mixed.select("box"), "box", "left_semi"), "open-boxes")
+
+
+def _candidates(open_entries: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of points of different components that share a box and may link by both bounds."""
+    held = open_entries.groupBy("box").agg(
+        F.count("*").alias("n_held"), *[F.sum(F.xxhash64("id", F.lit(salt)).cast("decimal(20,0)")).alias(f"held_{salt}") for salt in range(2)]
+    )
+    once = held.groupBy("n_held", "held_0", "held_1").agg(F.min("box").alias("box"))
+    once = once.select("box", F.ceil(F.col("n_held") / TILE).cast("int").alias("tiles"))
+    kept = stage(open_entries.join(once, "box"), "searched-boxes")
+    first = F.slice(F.array_sort(F.collect_list("box")), 1, FIRST)
+    points = kept.groupBy("id").agg(F.concat(first, F.array_repeat(F.lit(int(_NO_BOX)), FIRST)).alias("first"))
+    points = sets.select("id", "n", "counts", "parities").join(points.select("id", F.slice("first", 1, FIRST).alias("first")), "id")
+
+    tiled = kept.withColumn("tile", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    tiled = tiled.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
+    tiled = tiled.select("box", F.least("tile", "other").alias("i"), F.greatest("tile", "other").alias("j"), "tile", "id", "label")
+    tiled = tiled.join(points, "id").repartition("box", "i", "j").sortWithinPartitions("box", "i", "j")
+    return map_batches(tiled, _search_tiles(percent), "a long, b long")

@@ -6,9 +6,10 @@ import re
 import numpy as np
 import pytest
 
+from fleetspark.llm import shingle_join
 from fleetspark.llm.arrow_text import flat, word_hashes
 from fleetspark.llm.components import merge
-from fleetspark.llm.shingle_join import CountTree, SizeClasses, boxes, shingles, similar_components
+from fleetspark.llm.shingle_join import _NO_BOX, CountTree, SizeClasses, _first_common, _may_link, _Points, boxes, shingles, similar_components
 
 
 def brute(texts, width, percent):
@@ -88,6 +89,49 @@ def test_tree_finds_what_the_bound_allows():
     assert set(zip(q.tolist(), p.tolist(), strict=True)) == set(zip(*map(np.ndarray.tolist, np.nonzero(170 * bound >= 70 * (sizes[:, None] + sizes[None]))), strict=True))
 
 
+def test_texts_that_nearly_link_are_not_offered_from_every_box(docs, monkeypatch):
+    rng, found = random.Random(3), []
+    base = [f"w{k}" for k in range(300)]
+    texts = []
+    for _ in range(40):  # pairs of copies share about two thirds of their shingles
+        copy = list(base)
+        for at in rng.sample(range(300), 7):
+            copy[at] = f"x{rng.random()}"
+        texts.append(" ".join(copy))
+    searched = shingle_join.map_batches
+
+    def spy(df, run, schema):
+        out = searched(df, run, schema)
+        if schema == "a long, b long":
+            found.extend((r["a"], r["b"]) for r in out.collect())
+        return out
+
+    monkeypatch.setattr(shingle_join, "map_batches", spy)
+    got = {r["id"]: (r["n_shingles"], r["component_id"]) for r in similar_components(docs(texts), 80, 5).collect()}
+    assert [got[i] for i in range(len(texts))] == brute(texts, 5, 80)
+    assert len(found) == len(set(found)) < 40
+
+
+@pytest.mark.parametrize("percent", [50, 80, 97])
+def test_parities_rule_out_no_link(percent):
+    rng = np.random.default_rng(percent)
+    for n in (3, 40, 900, 20_000):
+        a = np.unique(rng.integers(0, 1 << 62, n).astype(np.uint64))
+        for share in (0, 0.2, 0.5, 1):
+            cut = int(share * len(a) * 2 * (100 - percent) / (100 + percent) / 2)
+            b = np.unique(np.concatenate((a[cut:], rng.integers(0, 1 << 62, cut).astype(np.uint64))))
+            same, sizes = len(np.intersect1d(a, b)), len(a) + len(b)
+            parities = tuple(np.array([_Points().of(s)[3]]) for s in (a, b))
+            if (100 + percent) * same >= percent * sizes:
+                assert _may_link(parities, np.array([sizes]), percent).all()
+
+
+def test_first_common_box():
+    a = np.array([[1, 5, 9], [1, 2, 3], [4, 7, _NO_BOX]])
+    b = np.array([[2, 5, 9], [4, 5, 6], [7, _NO_BOX, _NO_BOX]])
+    assert _first_common(a, b).tolist() == [5, _NO_BOX, 7]
+
+
 def test_words_do_not_depend_on_windows_or_rows(monkeypatch):
     import pyarrow as pa
 
