@@ -174,16 +174,16 @@ def sweep(spark: SparkSession, table: str, root: str) -> None:
 def fingerprints(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     """(table_name, source_file, length, fingerprint) of every source file.
 
-    Two sums over all lines of digests of line and line number: the same for every size and
-    split of a file, and another one if lines change places.
+    Two 64-bit hashes of line and line number, each combined over all lines by exclusive or: the same
+    for every size and split of a file, and another one if lines change places.
     """
     out = None
     for table, path in paths.items():
         files = spark.read.format("binaryFile").load(path).select("path", "length")
         lines = _numbered(spark.read.text(path))
-        digest = F.md5(F.concat_ws(":", "_line", "value"))
-        half = lambda start: F.sum(F.conv(F.substring(digest, start, 15), 16, 10).cast("decimal(38,0)"))
-        sums = lines.groupBy("_path").agg(F.count(F.lit(1)).alias("n"), half(1).alias("a"), half(16).alias("b"))
+        sums = lines.groupBy("_path").agg(
+            F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("_line", "value")).alias("a"), F.bit_xor(F.xxhash64("value", "_line")).alias("b")
+        )
         sums = sums.select(F.col("_path").alias("path"), F.sha2(F.concat_ws("-", "n", "a", "b"), 256).alias("fingerprint"))
         part = files.join(sums, "path", "left").select(
             F.lit(table).alias("table_name"),
