@@ -341,8 +341,11 @@ def _(spark, sf_dir):
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
     rows = w.sensor_features.join(w.event_features, w.p.keys)
-    again = scoring.rule_predictions(rows, w.anomaly_model, w.failures, w.p)
-    return _judged(w, lambda df: C.reproducible(df, again, ["failure_risk", "anomaly_score", *[f"{c}_risk" for c in COMPS]], w.p))
+    scores = ["failure_risk", "anomaly_score", *[f"{c}_risk" for c in COMPS]]
+    again = scoring.rule_predictions(rows, w.anomaly_model, w.failures, w.p).select(*w.p.keys, *scores)
+    # Scored once, for the predictions as they are and for damaged ones.
+    again = stage(again, "scored_again")
+    return _judged(w, lambda df: C.reproducible(df, again, scores, w.p))
 
 
 @query(
