@@ -14,6 +14,7 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -130,15 +131,13 @@ def train(rows: DataFrame, features: list[str], tasks: dict[str, Task], p: Fleet
     forest = Forest(None, features, texts)
 
     names = list(tasks)
-    learns = [F.when(t.rows & F.col(t.label).isNotNull(), F.struct(F.lit(i).alias("_task"), F.col(t.label).cast("double").alias("_y"))) for i, t in enumerate(tasks.values())]
-    wanted = F.filter(F.array(*learns), lambda x: x.isNotNull())
-    share = rows.agg(*[F.count_if(x.isNotNull()).alias(str(i)) for i, x in enumerate(learns)]).first()
-    keep = F.lit(False)
+    may = [t.rows & F.col(t.label).isNotNull() for t in tasks.values()]
+    share = rows.agg(*[F.count_if(x).alias(str(i)) for i, x in enumerate(may)]).first()
     hashed = F.pmod(F.xxhash64(*p.keys), F.lit(1 << 32))
-    for i in range(len(names)):
-        bound = min(1 << 32, (p.boosting_rows << 32) // max(1, share[str(i)]))
-        keep = F.when(F.col("_w._task") == i, hashed < bound).otherwise(keep)
-    taught = rows.select(*p.keys, forest.inputs().alias("_x"), F.explode(wanted).alias("_w")).where(keep)
+    # Rows outside the share go before any input is read: what is left does not grow with the table.
+    learns = [x & (hashed < min(1 << 32, (p.boosting_rows << 32) // max(1, share[str(i)]))) for i, x in enumerate(may)]
+    entries = [F.when(x, F.struct(F.lit(i).alias("_task"), F.col(t.label).cast("double").alias("_y"))) for i, (x, t) in enumerate(zip(learns, tasks.values(), strict=True))]
+    taught = rows.where(reduce(lambda a, b: a | b, learns)).select(forest.inputs().alias("_x"), F.explode(F.array_compact(F.array(*entries))).alias("_w"))
     taught = taught.select("_w._task", "_w._y", "_x")
     settings, k = [t.setting for t in tasks.values()], len(features)
 

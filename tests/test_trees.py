@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.plans import models as M
 from fleetspark.plans import trees as R
+from fleetspark.plans.boosting import Task, train
 
 
 def inputs(n, k, seed=3):
@@ -83,3 +84,16 @@ def test_only_chosen_inputs_are_put_into_words(spark, frames, p, monkeypatch):
     score = lambda d: d.withColumn("score", (F.col(feats[0]) + F.col(feats[1])) * 0.2)
     out = {r["machine_id"]: r["reason_1"] for r in M.explain_rows(df, feats, score, profile, p).collect()}
     assert out == {1: "error1 raised 3 times in the last 24 h (normal 0)", 2: "error2 raised 2 times in the last 24 h (normal 0)"}
+
+
+def test_inputs_of_rows_outside_the_share_are_not_read(spark, p):
+    from dataclasses import replace
+
+    p, n = replace(p, boosting_rows=300), 3000
+    rows = spark.range(n).select(
+        F.col("id").alias("machine_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("timestamp"), (F.col("id") % 2).alias("y"), F.lit("fit").alias("part")
+    )
+    taught = F.pmod(F.xxhash64(*p.keys), F.lit(1 << 32)) < (300 << 32) // n
+    rows = rows.withColumn("x", F.when(taught, F.col("machine_id").cast("double")).otherwise(F.raise_error(F.lit("an input was read")).cast("double")))
+    tasks = {"a": Task("y", F.col("part") == "fit", R.Setting(rounds=1)), "b": Task("y", F.col("part") == "other", R.Setting(rounds=1))}
+    assert train(rows, ["x"], tasks, p).nodes.select("name").distinct().collect() == [("a",)]
