@@ -1,5 +1,8 @@
 from __future__ import annotations
 
+from datetime import timedelta
+from statistics import mean, stdev
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -31,6 +34,37 @@ def test_rolling_features_look_back_only(frames, p, silver):
     assert rows[0]["volt_trend"] == pytest.approx(rows[0]["volt_mean_3h"] - rows[0]["volt_mean_24h"], rel=1e-4)
 
 
+def test_each_row_looks_back_over_its_own_readings(spark, frames, p):
+    """Against a plain loop: chunks of 10 steps, gaps that are filled or stay empty, no window over every step."""
+    values = {h: float((h * h) % 17) for h in range(70) if h % 9 and not 30 <= h < 37}
+    silver = cleaning.clean(frames.readings(frames.series(values)), p)
+    silver = spark.createDataFrame(silver.collect(), silver.schema)
+    volts = {r["timestamp"]: r["volt"] for r in silver.collect()}
+    out = features.sensor_features(silver, p)
+    assert "Window" not in out._jdf.queryExecution().analyzed().toString()
+    rows = out.collect()
+    assert len(rows) == 15
+    for r in rows:
+        for n in p.windows:
+            back = [volts[r["timestamp"] - timedelta(hours=k)] for k in range(n)]
+            back = [v for v in back if v is not None]
+            enough = len(back) >= max(2, n // 2)
+            assert r[f"volt_mean_{n}h"] == (pytest.approx(mean(back), rel=1e-6) if enough else None)
+            assert r[f"volt_std_{n}h"] == (pytest.approx(stdev(back), rel=1e-5, abs=1e-6) if enough else None)
+
+
+def test_rows_of_features_follow_from_the_grid_bounds(frames, p):
+    """Entities that start off the common rhythm, are too short, or have readings off the grid."""
+    rows = frames.series({h: 1.0 * h for h in range(0, 75) if h % 5}, machine=1)
+    rows += frames.series({h: 2.0 * h for h in (7, 8, 40.5, 90)}, machine=2)
+    rows += frames.series({h: 1.0 for h in range(3, 26)}, machine=3) + frames.series({5.5: 1.0}, machine=4)
+    readings = frames.readings(rows)
+    expected = features.sensor_features(cleaning.clean(readings, p), p).select(*p.keys)
+    got = features.feature_rows(cleaning.grid_bounds(readings, p), p)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, expected.collect()))
+    assert {r["machine_id"] for r in got.collect()} == {1, 2}
+
+
 def test_the_future_does_not_change_past_features(frames, p, silver, machines):
     errors = frames.events([(1, 20, "error1")], "error_id")
     repairs = frames.events([(1, 10, "comp1")])

@@ -2,6 +2,8 @@
 
 import pytest
 
+from fleetspark.plans import labels
+from fleetspark.suite import worlds
 from fleetspark.suite.catalog import QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -11,3 +13,17 @@ SMALL = "/root/testdata/sf0.001"
 def test_written_layers_are_read(spark, name):
     files = QUERIES[name](spark, SMALL).inputFiles()
     assert files and not [f for f in files if "events.parquet" in f]
+
+
+@pytest.mark.parametrize("name", ["m22_pr_points", "l19_beats_baseline"])
+def test_a_rule_on_events_is_judged_without_cleaned_sensors(spark, monkeypatch, name):
+    monkeypatch.setattr(worlds, "_worlds", {})
+    assert QUERIES[name](spark, SMALL).count()
+    assert not {"silver", "sensor_features", "ml_dataset"} & set(vars(worlds.event_world(spark, SMALL)))
+
+
+def test_the_dataset_is_that_of_all_three_layers(spark):
+    w = worlds.event_world(spark, SMALL)
+    expected = labels.ml_dataset(w.sensor_features, w.event_features, w.labels, w.p)
+    assert w.ml_dataset.columns == expected.columns and w.ml_dataset.count() == expected.count() > 0
+    assert w.ml_dataset.exceptAll(expected).isEmpty()
