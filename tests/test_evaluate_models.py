@@ -54,6 +54,17 @@ def test_cool_down_over_many_chunks(spark, frames, p):
     assert openings(spark, frames, p, hours) == expected
 
 
+def test_chosen_metrics_are_those_of_the_whole_evaluation(spark, frames, p, costs, monkeypatch):
+    items = [(m, h, ((m * h) % 7) / 7, 90, "comp1+comp2") for m in (1, 2, 3) for h in range(0, 90, 3)]
+    df = rows(spark, frames, p, items).withColumn("threshold", F.lit(0.5)).withColumn("model", F.concat(F.lit("m"), F.col("machine_id") % 2))
+    names = ["net_saving", "pr_auc"]
+    for by in ([], ["model"]):
+        full = E.evaluate(df, costs, p, by).select(*by, *names).collect()
+        with monkeypatch.context() as m:
+            m.setattr(E, "exact_quantiles", None)  # the lead time is not asked for
+            assert sorted(E.evaluate(df, costs, p, by, metrics=names).collect()) == sorted(full)
+
+
 def test_evaluation_by_hand(spark, frames, p, costs):
     df = rows(
         spark, frames, p,
