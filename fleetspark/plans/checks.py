@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.times import date_key, micros, ntz
 from fleetspark.functions.typing import n_if
+from fleetspark.operators.timejoin import by_step
 from fleetspark.params import FleetParams
 from fleetspark.plans import features
 from fleetspark.plans.kpis import in_period
@@ -372,7 +373,7 @@ def predictions_complete(predictions: DataFrame, rows: DataFrame, versions: dict
     copies = predictions.groupBy(*p.keys).agg((F.count(F.lit(1)) - 1).alias("_c")).agg(
         F.coalesce(F.sum("_c"), F.lit(0)).alias("_copies")
     )
-    missing = rows.select(*p.keys).join(predictions.select(*p.keys), p.keys, "left_anti").agg(F.count(F.lit(1)).alias("_missing"))
+    missing = by_step(rows.select(*p.keys), predictions.select(*p.keys), p.keys, "left_anti").agg(F.count(F.lit(1)).alias("_missing"))
     one = counts.crossJoin(F.broadcast(copies)).crossJoin(F.broadcast(missing))
     names = {"missing_rows": "_missing", "duplicate_keys": "_copies", "empty_scores": "_empty", "old_versions": "_old"}
     rows_ = [_row("predictions_complete", n, F.col(c) == 0, F.lit(0), F.col(c)) for n, c in names.items()]
@@ -416,7 +417,7 @@ def reproducible(stored: DataFrame, again: DataFrame, columns: list[str], p: Fle
     """Scores computed again against the stored ones."""
     b = again.select(*p.keys, *[F.col(c).alias(f"_b_{c}") for c in columns])
     worst = F.greatest(F.lit(0.0), *[F.abs(F.col(c) - F.col(f"_b_{c}")) for c in columns])
-    one = stored.join(b, p.keys).agg(F.coalesce(F.max(worst), F.lit(0.0)).alias("_worst"), F.count(F.lit(1)).alias("_n"))
+    one = by_step(stored, b, p.keys).agg(F.coalesce(F.max(worst), F.lit(0.0)).alias("_worst"), F.count(F.lit(1)).alias("_n"))
     return one.select(
         *_row("reproducible", "max_difference", (F.col("_worst") < 1e-9) & (F.col("_n") > 0), F.lit(0), F.col("_worst"))
     )

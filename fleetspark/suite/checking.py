@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from fleetspark.functions.staging import stage
 from fleetspark.operators import cleaning
+from fleetspark.operators.timejoin import by_step
 from fleetspark.plans import checks as C
 from fleetspark.plans import evaluate as E
 from fleetspark.plans import insights as N
@@ -340,7 +341,7 @@ def _(spark, sf_dir):
 )
 def _(spark, sf_dir):
     w = event_world(spark, sf_dir)
-    rows = w.sensor_features.join(w.event_features, w.p.keys)
+    rows = by_step(w.sensor_features, w.event_features, w.p.keys)
     scores = ["failure_risk", "anomaly_score", *[f"{c}_risk" for c in COMPS]]
     again = scoring.rule_predictions(rows, w.anomaly_model, w.failures, w.p).select(*w.p.keys, *scores)
     # Scored once, for the predictions as they are and for damaged ones.
