@@ -1,9 +1,10 @@
 """Boosted models as a relation: one row for each node of each tree of each model.
 
-All models of a call are trained side by side, each in a task of its own, on at most about
-``boosting_rows`` rows (a parameter): with more, those whose hashed keys fall into that share. What a
-task holds is bounded by that number times the inputs. Scores are computed where the rows
-are; a forest has at most (rounds + 1) * 2 ** (depth + 1) nodes for each model, whatever the data.
+All models of a call are trained side by side, on all of their rows. Up to ``ALONE`` rows a model is grown in
+a task of its own. More rows are dealt out over tasks that run together (Spark's barrier mode) and tell each other
+their sums of each step, which hardly grow with the table, in files of the shared folder; the trees are the same. A task then holds its
+share of the rows, about 700 bytes each. A caller may ask for a share of the rows (``boosting_rows``, a
+parameter, by default none): those whose hashed keys fall into it. Scores are computed where the rows are; a forest has at most (rounds + 1) * 2 ** (depth + 1) nodes for each model, whatever the data.
 
 Text inputs are numbered in alphabetical order of the values in the training rows; other values are
 missing. Missing numbers stay missing (see ``trees``).
@@ -11,26 +12,34 @@ missing. Missing numbers stay missing (see ``trees``).
 
 from __future__ import annotations
 
+import math
 import sys
+import time
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyarrow.fs import FileSystem
+from pyspark import BarrierTaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from fleetspark.functions.staging import stage
+from fleetspark.functions.staging import shared_folder, stage
 from fleetspark.params import FleetParams
-from fleetspark.plans.trees import SCALE, Scores, Setting, Trees, grow
+from fleetspark.plans.trees import SCALE, Histograms, Scores, Setting, Trees, added, bins_of, grow, growing, shared_cut_points, side_by_side, written
 
 # Executors get the functions of this module with the task and need no copy of the package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 TEXT = ("model", "plant_id", "line_id")
+#: Rows of a model that one task grows alone, at most, and that each of several tasks gets, at least.
+ALONE = 250_000
+EACH = 100_000
+#: Seconds that a task waits for what another one has to tell.
+PATIENCE = 3600
 NODES = "name string, tree int, node int, feature int, cut double, value long"
 
 
@@ -130,16 +139,37 @@ def train(rows: DataFrame, features: list[str], tasks: dict[str, Task], p: Fleet
         texts = {f: list(found[f]) for f in texts}
     forest = Forest(None, features, texts)
 
-    names = list(tasks)
     may = [t.rows & F.col(t.label).isNotNull() for t in tasks.values()]
-    share = rows.agg(*[F.count_if(x).alias(str(i)) for i, x in enumerate(may)]).first()
-    hashed = F.pmod(F.xxhash64(*p.keys), F.lit(1 << 32))
-    # Rows outside the share go before any input is read: what is left does not grow with the table.
-    learns = [x & (hashed < min(1 << 32, (p.boosting_rows << 32) // max(1, share[str(i)]))) for i, x in enumerate(may)]
+    pairs = [(i, j) for j in range(len(may)) for i in range(j)]
+    found = rows.agg(*[F.count_if(x).alias(str(i)) for i, x in enumerate(may)], *[F.count_if(may[i] != may[j]).alias(f"{i} {j}") for i, j in pairs]).first()
+    share = [found[str(i)] for i in range(len(may))]
+    learns = may
+    if p.boosting_rows is not None:
+        hashed = F.pmod(F.xxhash64(*p.keys), F.lit(1 << 32))
+        # Rows outside the share go before any input is read: what is left does not grow with the table.
+        learns = [x & (hashed < min(1 << 32, (p.boosting_rows << 32) // max(1, n))) for x, n in zip(may, share, strict=True)]
+        share = [min(n, p.boosting_rows) for n in share]
+    if max(share) <= ALONE:
+        forest.nodes = stage(_each_alone(rows, forest, tasks, learns), "forest")
+        return forest
+    # Models that learn from the same rows are grown together.
+    first = [next((i for i in range(j) if not found[f"{i} {j}"]), j) for j in range(len(may))]
+    names, grown = list(tasks), []
+    for i in dict.fromkeys(first):
+        same = {names[j]: tasks[names[j]] for j in range(len(may)) if first[j] == i}
+        if share[i]:
+            with shared_folder(rows.sparkSession, "told") as folder:
+                grown.append(stage(_dealt_out(rows.where(learns[i]), forest, same, share[i], folder), "forest"))
+    forest.nodes = reduce(DataFrame.unionByName, grown)
+    return forest
+
+
+def _each_alone(rows: DataFrame, forest: Forest, tasks: dict[str, Task], learns: list[Column]) -> DataFrame:
+    """The nodes of all models, each grown in one task."""
+    names, settings, k = list(tasks), [t.setting for t in tasks.values()], len(forest.features)
     entries = [F.when(x, F.struct(F.lit(i).alias("_task"), F.col(t.label).cast("double").alias("_y"))) for i, (x, t) in enumerate(zip(learns, tasks.values(), strict=True))]
     taught = rows.where(reduce(lambda a, b: a | b, learns)).select(forest.inputs().alias("_x"), F.explode(F.array_compact(F.array(*entries))).alias("_w"))
     taught = taught.select("_w._task", "_w._y", "_x")
-    settings, k = [t.setting for t in tasks.values()], len(features)
 
     def fit(group: pa.Table) -> pa.Table:
         group = group.combine_chunks()
@@ -147,8 +177,86 @@ def train(rows: DataFrame, features: list[str], tasks: dict[str, Task], p: Fleet
         y = group.column("_y").to_numpy()
         return _nodes(names[which], grow(_matrix(group.column("_x").combine_chunks(), k), y, settings[which]))
 
-    forest.nodes = stage(taught.groupBy("_task").applyInArrow(fit, NODES), "forest")
-    return forest
+    return taught.groupBy("_task").applyInArrow(fit, NODES)
+
+
+class Told:
+    """What tasks that run together tell each other, step by step, as files of a shared folder that pyarrow can open.
+
+    Spark's own ``allGather`` looks for an answer once a second, and models of 300 rounds take 1,500 steps.
+    """
+
+    def __init__(self, folder: str, context: BarrierTaskContext):
+        self.fs, root = FileSystem.from_uri(folder)
+        # Tasks that are run again, as a stage is repeated, do not meet what the first ones told.
+        attempt = min(map(int, context.allGather(str(context.taskAttemptId()))))
+        self.root, self.me, self.tasks, self.step = f"{root}/{attempt}", context.partitionId(), len(context.getTaskInfos()), 0
+        self.fs.create_dir(self.root, recursive=True)
+
+    def all(self, own: bytes) -> list[bytes]:
+        """What each task tells in this step."""
+        path = lambda step, task: f"{self.root}/{step}-{task}"
+        with self.fs.open_output_stream(path(self.step, self.me) + ".part") as out:
+            out.write(own)
+        self.fs.move(path(self.step, self.me) + ".part", path(self.step, self.me))
+        told = [own if i == self.me else self._read(path(self.step, i)) for i in range(self.tasks)]
+        if self.step:  # who has told this step has read the one before
+            self.fs.delete_file(path(self.step - 1, self.me))
+        self.step += 1
+        return told
+
+    def _read(self, path: str) -> bytes:
+        pause, until = 0.0005, time.monotonic() + PATIENCE
+        while time.monotonic() < until:
+            try:
+                with self.fs.open_input_file(path) as file:
+                    return file.readall()
+            except FileNotFoundError:
+                time.sleep(pause)
+                pause = min(2 * pause, 0.02)
+        raise TimeoutError(f"nothing was told in {path}")
+
+
+def _dealt_out(taught: DataFrame, forest: Forest, tasks: dict[str, Task], n: int, folder: str) -> DataFrame:
+    """The nodes of models that learn from the same ``n`` rows, grown by tasks that run together; the first one returns them."""
+    names, settings, k = list(tasks), [t.setting for t in tasks.values()], len(forest.features)
+    parts = max(1, min(taught.sparkSession.sparkContext.defaultParallelism, math.ceil(n / EACH)))
+    labels = F.array(*[F.col(t.label).cast("double") for t in tasks.values()])
+    dealt = taught.select(forest.inputs().alias("_x"), labels.alias("_y")).repartition(parts)
+
+    def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        context = BarrierTaskContext.get()
+        told = Told(folder, context)
+
+        def exchange(sums: list[np.ndarray], used: np.ndarray | None = None) -> list[np.ndarray]:
+            """``used``: the bins that an input has; those of histograms (all with four axes) are sent."""
+            short = [a[..., used] if a.ndim == 4 else a for a in sums]
+            totals = added(told.all(written(short)), short)
+            for i, a in enumerate(sums):
+                if a.ndim == 4:
+                    a[..., used] = totals[i]
+                    totals[i] = a
+            return totals
+
+        read = [(_matrix(b.column("_x"), k), _matrix(b.column("_y"), len(names))) for b in batches]
+        x, y = (np.concatenate([np.empty((0, w)), *[r[i] for r in read]]) for i, w in enumerate((k, len(names))))
+        del read
+        coded = {}
+        for s in settings:
+            if s.bins not in coded:
+                cuts = shared_cut_points(x, s.bins, exchange)
+                bins = bins_of(x, cuts, s)
+                coded[s.bins] = bins, Histograms(bins, s.bins + 1), cuts
+        del x
+        for bins in coded:
+            of = [i for i, s in enumerate(settings) if s.bins == bins]
+            used = np.arange(bins + 1) < np.array([[2 + len(c)] for c in coded[bins][2]])
+            models = side_by_side([growing(*coded[bins], y[:, i], settings[i]) for i in of], lambda sums: exchange(sums, used))  # noqa: B023
+            if context.partitionId() == 0:
+                for i, trees in zip(of, models, strict=True):
+                    yield from _nodes(names[i], trees).to_batches()
+
+    return dealt.mapInArrow(fit, NODES, barrier=True)
 
 
 def scores_by_join(rows: DataFrame, forest: Forest, name: str, keys: list[str]) -> DataFrame:

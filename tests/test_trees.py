@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import random
+import threading
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from fleetspark.plans import boosting as B
 from fleetspark.plans import models as M
 from fleetspark.plans import trees as R
 from fleetspark.plans.boosting import Task, train
@@ -97,3 +99,74 @@ def test_inputs_of_rows_outside_the_share_are_not_read(spark, p):
     rows = rows.withColumn("x", F.when(taught, F.col("machine_id").cast("double")).otherwise(F.raise_error(F.lit("an input was read")).cast("double")))
     tasks = {"a": Task("y", F.col("part") == "fit", R.Setting(rounds=1)), "b": Task("y", F.col("part") == "other", R.Setting(rounds=1))}
     assert train(rows, ["x"], tasks, p).nodes.select("name").distinct().collect() == [("a",)]
+
+
+def relation(forest):
+    return {(r["name"], r["tree"], r["node"]): (r["feature"], r["cut"], r["value"]) for r in forest.nodes.collect()}
+
+
+def test_a_model_learns_from_all_rows(spark, p):
+    """More rows than one task takes: the trees are those that numpy grows from every one of them."""
+    n = 260_000
+    df = spark.range(n).select(F.col("id").alias("machine_id"), F.timestamp_seconds("id").cast("timestamp_ntz").alias("timestamp"), ((F.col("id") * 7919) % 1000 / 8).alias("u"), (F.sqrt("id")).alias("v"))
+    df = df.withColumn("y", ((F.col("u") > 60) & (F.col("v") % 3 < 2)).cast("int"))
+    setting = R.Setting(rounds=2, depth=3)
+    got = train(df, ["u", "v"], {"a": Task("y", F.lit(True), setting)}, p)
+    rows = df.select("u", "v", "y").toPandas()
+    own = B._nodes("a", R.grow(rows[["u", "v"]].to_numpy(float), rows["y"].to_numpy(float), setting)).to_pylist()
+    assert relation(got) == {(r["name"], r["tree"], r["node"]): (r["feature"], r["cut"], r["value"]) for r in own}
+
+
+def test_trees_do_not_depend_on_the_tasks_that_grow_them(spark, p, monkeypatch):
+    """Several tasks, models of other rows, depths, rounds and bins, missing values, an input without any value."""
+    x, y = inputs(3000, 5)
+    data = [(i, *[None if np.isnan(v) else float(v) for v in row], int(t)) for i, (row, t) in enumerate(zip(x, y, strict=True))]
+    features = [f"x{j}" for j in range(5)]
+    df = spark.createDataFrame(data, "machine_id bigint, " + ", ".join(f"{f} double" for f in features) + ", y int")
+    df = df.withColumn("timestamp", F.timestamp_seconds("machine_id").cast("timestamp_ntz"))
+    df = df.withColumn("z", F.when(F.col("machine_id") % 3 != 0, 1 - F.col("y")))
+    some = F.col("machine_id") < 2000
+    tasks = {
+        "a": Task("y", some, R.Setting(rounds=6, depth=3)),
+        "b": Task("y", some, R.Setting(rounds=9, depth=5, least=5)),
+        "c": Task("z", some, R.Setting(rounds=4, depth=2)),
+        "d": Task("y", some, R.Setting(rounds=4, depth=4, bins=16)),
+        "e": Task("y", F.lit(False), R.Setting(rounds=2)),
+    }
+    alone = relation(train(df, features, tasks, p))
+    monkeypatch.setattr(B, "ALONE", 100)
+    monkeypatch.setattr(B, "EACH", 900)
+    assert relation(train(df, features, tasks, p)) == alone
+    assert {name for name, *_ in alone} == {"a", "b", "c", "d"}
+
+
+def test_sums_of_tasks_are_added_exactly():
+    rng = np.random.default_rng(5)
+    parts = [[rng.integers(-(1 << 50), 1 << 50, (3, 2, 4)).astype(float), rng.integers(0, 3, 2).astype(float), np.array([[-1.0], [127.0], [-129.0]])] for _ in range(4)]
+    got = R.added([R.written(part) for part in parts], parts[0])
+    assert all(np.array_equal(g, sum(part[i] for part in parts)) for i, g in enumerate(got))
+
+
+def test_cut_points_of_all_tasks_are_those_of_all_rows():
+    x, _ = inputs(700, 6)
+    x[:3, 0] = np.inf, -np.inf, -1e-300
+    whole = [R.cut_points(c, 64) for c in x.T]
+    parts = [R.shared_cut_points(x, 64, lambda sums: sums)]
+    barrier, told = threading.Barrier(2), {}
+
+    def shared(me, rows, out):
+        def exchange(sums):
+            told[me] = sums
+            barrier.wait()
+            total = [p + q for p, q in zip(told[0], told[1], strict=True)]
+            barrier.wait()
+            return total
+
+        out[me] = R.shared_cut_points(rows, 64, exchange)
+
+    out = {}
+    threads = [threading.Thread(target=shared, args=(i, rows, out)) for i, rows in enumerate((x[:300], x[300:]))]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    for made in (*parts, out[0], out[1]):
+        assert all(np.array_equal(c, w) for c, w in zip(made, whole, strict=True))
